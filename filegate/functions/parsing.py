@@ -43,21 +43,58 @@ def _col(c: Column | str) -> Column:
 
 
 def base_name(path: Column | str) -> Column:
-    """Last path segment; both ``/`` and ``\\`` separate segments."""
-    return F.regexp_extract(_col(path), BASE_NAME_PATTERN, 1)
+    """Last path segment; both ``/`` and ``\\`` separate segments.
+
+    Same result as ``regexp_extract(path, BASE_NAME_PATTERN, 1)`` (empty when the path
+    ends with a separator) without running a regex over the whole path.
+    """
+    return F.substring_index(F.substring_index(_col(path), "/", -1), "\\", -1)
 
 
 def decoded_name(name: Column | str) -> Column:
-    """URL-decoded name; an undecodable name (e.g. ``%zz``) is kept as it is."""
+    """URL-decoded name; an undecodable name (e.g. ``%zz``) is kept as it is.
+
+    Decoding only changes ``%xx`` escapes and ``+``, so names without either are passed
+    through without calling the decoder.
+    """
     name = _col(name)
-    return F.coalesce(F.try_url_decode(name), name)
+    encoded = name.contains("%") | name.contains("+")
+    return F.when(encoded, F.coalesce(F.try_url_decode(name), name)).otherwise(name)
 
 
 def name_field(logical_name: Column | str, group: int) -> Column:
-    """Capture group of the file name pattern; ``''`` when the name does not match."""
+    """Capture group of the file name pattern; ``''`` when the name does not match.
+
+    Reference form: ``regexp_extract(name, FILE_NAME_PATTERN, group)``.
+    """
     return F.regexp_extract(_col(logical_name), FILE_NAME_PATTERN, group)
 
 
+_PART_TAIL_PATTERN = r"^PART=(\d+)\.json$"
+
+
+def name_fields(logical_name: Column | str, matches: Column) -> dict[str, Column]:
+    """Groups 1, 2, 3 and 5 of the file name pattern with a single regex evaluation.
+
+    ``matches`` is ``matches_name_pattern(name)``. When the pattern matches, the name is
+    ``SISTEMA=<s>|TABELA=<t>|DT_REF=<d>|<tail>`` with no ``|`` inside ``s``, ``t``, ``d``
+    or ``tail``, so the groups are the ``|``-separated fields minus their fixed prefixes,
+    and the part number is read from the short tail (keeping the pattern's ``$`` rule).
+    Without a match every group is ``''``, as ``regexp_extract`` returns.
+    """
+    name = _col(logical_name)
+    empty = F.lit("")
+
+    fields = {}
+    for key, n, prefix in (("system_name", 1, "SISTEMA="), ("table_name", 2, "TABELA="),
+                           ("dt_ref_str", 3, "DT_REF=")):
+        fields[key] = F.when(matches, F.substring(F.split_part(name, F.lit("|"), F.lit(n)), len(prefix) + 1, 1 << 30)) \
+            .otherwise(empty)
+    tail = F.split_part(name, F.lit("|"), F.lit(4))
+    fields["part_number_str"] = F.when(matches, F.regexp_extract(tail, _PART_TAIL_PATTERN, 1)).otherwise(empty)
+    return fields
+
+
 def matches_name_pattern(logical_name: Column | str) -> Column:
     return _col(logical_name).rlike(FILE_NAME_PATTERN)
 
@@ -96,9 +133,14 @@ def group_key(system: Column | str, table: Column | str, dt_ref: Column | str,
 
 def parse_error(logical_name: Column | str, dt_ref: Column | str,
                 part_text: Column | str | None = None,
-                part: Column | str | None = None, strict: bool = False) -> Column:
-    """First failing rule: name pattern, then reference date, then (strict) part range."""
-    rule = F.when(~matches_name_pattern(logical_name), F.lit(INVALID_FILENAME_PATTERN)).when(
+                part: Column | str | None = None, strict: bool = False,
+                name_ok: Column | None = None) -> Column:
+    """First failing rule: name pattern, then reference date, then (strict) part range.
+
+    ``name_ok`` may pass an already computed ``matches_name_pattern`` column.
+    """
+    ok = matches_name_pattern(logical_name) if name_ok is None else name_ok
+    rule = F.when(~ok, F.lit(INVALID_FILENAME_PATTERN)).when(
         _col(dt_ref).isNull(), F.lit(INVALID_DT_REF)
     )
     if strict:

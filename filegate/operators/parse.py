@@ -37,13 +37,12 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
     ).withColumn("logical_file_name", parsing.decoded_name("file_name"))
     step2 = step1.select(
         "*",
-        parsing.name_field("logical_file_name", 1).alias("system_name"),
-        parsing.name_field("logical_file_name", 2).alias("table_name"),
-        parsing.name_field("logical_file_name", 3).alias("dt_ref_str"),
-        parsing.name_field("logical_file_name", 5).alias("part_number_str"),
+        parsing.matches_name_pattern("logical_file_name").alias("_name_ok"),
         parsing.is_manifest_name("logical_file_name").alias("is_manifest"),
     )
-    step3 = step2.select(
+    fields = parsing.name_fields("logical_file_name", F.col("_name_ok"))
+    step2b = step2.select("*", *[col.alias(name) for name, col in fields.items()])
+    step3 = step2b.select(
         "*",
         parsing.reference_date("dt_ref_str").alias("dt_ref"),
         parsing.part_number("part_number_str", "is_manifest").alias("part_number"),
@@ -52,10 +51,11 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
         now.alias("ingested_at"),
     )
     return step3.select(
-        "*",
+        *[c for c in step3.columns if c != "_name_ok"],
         parsing.group_key("system_name", "table_name", "dt_ref", "dt_ref_str").alias("group_key"),
         parsing.parse_error(
-            "logical_file_name", "dt_ref", "part_number_str", "part_number", strict=strict
+            "logical_file_name", "dt_ref", "part_number_str", "part_number", strict=strict,
+            name_ok=F.col("_name_ok"),
         ).alias("parse_error"),
         parsing.raw_metadata_json("path", "logical_file_name", "length", "modificationTime").alias(
             "raw_metadata_json"
