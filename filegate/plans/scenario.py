@@ -192,11 +192,17 @@ class FixtureScenario:
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return register.dedupe_by_key(self.events, copies=True)
+        """Survivor per key with the columns the registration reports use."""
+        cols = ["file_business_key", "arrived_at", "source_modification_time", "file_path", "file_size"]
+        return register.dedupe_by_key(self.events.select(*cols), copies=True)
 
     @cached_property
     def valid(self) -> DataFrame:
-        return register.valid_events(self.deduped.drop("n_copies"))
+        """Registered valid events with the columns the group fold uses (pruned before
+        the de-duplication shuffle, which carries whole rows)."""
+        cols = ["file_business_key", "arrived_at", "source_modification_time", "file_path", "group_key",
+                "is_manifest", "part_number", "expected_parts", "parse_error"]
+        return register.valid_events(register.dedupe_by_key(self.events.select(*cols)))
 
     @cached_property
     def aggregate(self) -> DataFrame:
