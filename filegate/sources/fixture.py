@@ -25,15 +25,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the session's parallelism.
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition by ``key`` a scan that yields fewer partitions than the parallelism.
 
     The shared test tables are single row-group files, read as one task; large inputs
     already split into many scan tasks and are left as they are (no extra shuffle).
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, key)
     return df
 
 
@@ -58,11 +58,11 @@ def derived_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing listing of the scale factor in ``sf_dir`` (NTZ timestamps)."""
     orders = _spread(_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", _group_prefix().alias("prefix")
-    ))
+    ), "o_orderkey")
     lineitem = _spread(_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
-    ))
-    events = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"))
+    ), "l_orderkey")
+    events = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"), "event_id")
 
     parts = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner").select(
         F.concat(
