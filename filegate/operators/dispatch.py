@@ -66,19 +66,34 @@ def already_dispatched(ready: DataFrame, dispatch_table: DataFrame) -> DataFrame
     )
 
 
-def snapshot_rows(groups: DataFrame, file_events: DataFrame) -> DataFrame:
-    """Part files of the given groups (``group_key, dispatch_key``), one row per file."""
+def snapshot_rows(groups: DataFrame, file_events: DataFrame, bounded: bool = False) -> DataFrame:
+    """Part files of the given groups (``group_key, dispatch_key``), one row per file.
+
+    ``bounded=True`` states that ``groups`` is limited by the dispatch batch limit: it is
+    then broadcast, so part rows are never shuffled by group and a group holding a large
+    share of all files does not land in one task. Otherwise AQE's skew-join split applies.
+    """
     parts = snapshot_part_rows(file_events).select("group_key", "dt_ref", *SNAPSHOT_FIELDS)
-    return parts.join(groups.select("group_key", "dispatch_key"), "group_key", "inner").select(
-        "dispatch_key", "group_key", *SNAPSHOT_FIELDS, "dt_ref"
-    )
+    keys = groups.select("group_key", "dispatch_key")
+    if bounded:
+        keys = F.broadcast(keys)
+    return parts.join(keys, "group_key", "inner").select("dispatch_key", "group_key", *SNAPSHOT_FIELDS, "dt_ref")
 
 
-def snapshot_summary(rows: DataFrame, json_max_parts: int = DEFAULT_JSON_MAX_PARTS) -> DataFrame:
+def snapshot_summary(rows: DataFrame, json_max_parts: int = DEFAULT_JSON_MAX_PARTS,
+                     bounded: bool = False) -> DataFrame:
     """Per dispatch key: ``snapshot_parts`` and, within the bound, the JSON array of the
-    parts sorted by ``(part_number, file_name, ...)`` (null part numbers first)."""
+    parts sorted by ``(part_number, file_name, ...)`` (null part numbers first).
+
+    The count is a partial (map-side) aggregation; only groups within ``json_max_parts``
+    are collected, so no collected list exceeds the bound. ``bounded`` as in
+    ``snapshot_rows`` (one count row per dispatched group).
+    """
     counts = rows.groupBy("dispatch_key").agg(F.count(F.lit(1)).alias("snapshot_parts"))
-    small = rows.join(counts.where(F.col("snapshot_parts") <= json_max_parts), "dispatch_key", "left_semi")
+    within = counts.where(F.col("snapshot_parts") <= json_max_parts)
+    if bounded:
+        within = F.broadcast(within)
+    small = rows.join(within, "dispatch_key", "left_semi")
     arrays = small.groupBy("dispatch_key").agg(
         F.to_json(F.array_sort(F.collect_list(F.struct(*SNAPSHOT_FIELDS)))).alias("files_snapshot_json")
     )

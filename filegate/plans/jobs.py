@@ -26,6 +26,9 @@ from filegate.session import materialize
 from filegate.sources.landing import read_landing
 from filegate.sources.tables import ControlTables
 
+# Largest row count of a key set that is broadcast (one short key per row: a few MB).
+BROADCAST_ROW_BOUND = 100_000
+
 
 @dataclass(frozen=True)
 class FilegateConfig:
@@ -110,7 +113,11 @@ def _refresh_input(store: ControlTables, config: FilegateConfig, watermark) -> t
     fresh = events.where(F.col("ingested_at") > F.lit(watermark))
     touched = materialize(fresh.select("group_key", "dt_ref").distinct())
     pruned = register.valid_events(store.pruned("file_events", touched.select("dt_ref")))
-    return pruned.join(touched.select("group_key"), "group_key", "left_semi"), touched
+    keys = touched.select("group_key")
+    if touched.count() <= BROADCAST_ROW_BOUND:
+        # checked size: events of a hot group are filtered in place, not shuffled to one task
+        keys = F.broadcast(keys)
+    return pruned.join(keys, "group_key", "left_semi"), touched
 
 
 def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
@@ -157,9 +164,10 @@ def run_dispatch(spark: SparkSession, config: FilegateConfig, now=None, limit: i
     stored = store.pruned("dispatch", ready_rows.select("dt_ref"))
     pending = dispatch.to_dispatch(ready_rows, stored)
     skipped = materialize(dispatch.already_dispatched(ready_rows, stored))
+    bounded = limit is not None and 0 < limit <= BROADCAST_ROW_BOUND
     files = store.pruned("file_events", ready_rows.select("dt_ref"))
-    snapshot = materialize(dispatch.snapshot_rows(pending, files))
-    summary = dispatch.snapshot_summary(snapshot, config.snapshot_json_max_parts)
+    snapshot = materialize(dispatch.snapshot_rows(pending, files, bounded=bounded))
+    summary = dispatch.snapshot_summary(snapshot, config.snapshot_json_max_parts, bounded=bounded)
     sent = materialize(dispatch.dispatch_rows(pending, summary, now_col))
     counters = _row_dict(dispatch.dispatch_counters(ready_rows, sent, skipped))
     stored_files = store.pruned("dispatch_files", snapshot.select("dt_ref")).select("dispatch_key").distinct()
@@ -167,7 +175,6 @@ def run_dispatch(spark: SparkSession, config: FilegateConfig, now=None, limit: i
     counters["audit_events"] = _append_audit(store, audit.dispatch_audit(sent, skipped), now_col)
     store.insert_if_absent("dispatch", sent)
     updates = sent.select("group_key", "dispatched_at").unionByName(skipped.select("group_key", "dispatched_at"))
-    bounded = limit is not None and 0 < limit <= DEFAULT_DISPATCH_LIMIT * 10
     store.write_groups(dispatch.mark_dispatched(state, updates, bounded=bounded), store.groups_watermark())
     return counters
 
