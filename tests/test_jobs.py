@@ -154,3 +154,31 @@ def test_jsonl_samples_adapter(spark, scratch):
     assert out["inserted"] == 2
     fe = ControlTables(spark, cfg.tables_root).read("file_events").where("is_manifest").first()
     assert fe.expected_parts == 2
+
+
+def test_incremental_refresh_equals_full_refresh(spark, scratch):
+    landing = os.path.join(scratch, "landing_inc")
+    demo_landing(landing)
+    common = dict(landing=landing, arrival="modification")
+    inc = FilegateConfig(tables_root=f"file:{scratch}/inc", incremental_refresh=True, **common)
+    full = FilegateConfig(tables_root=f"file:{scratch}/full", incremental_refresh=False, **common)
+    for cfg in (inc, full):
+        run_ingest(spark, cfg, now="2026-04-14 10:00:00")
+        run_evaluate(spark, cfg, now="2026-04-14 10:05:00")
+    # a second delivery touches one group only
+    _put(landing, "parts/late", f"{PRE}processos|DT_REF=2026-04-15|PART=0002.json", "{}")
+    _put(landing, "parts/late", f"{PRE}novos|DT_REF=2026-04-16|PART=0001.json", "{}")
+    for cfg in (inc, full):
+        run_ingest(spark, cfg, now="2026-04-14 10:20:00")
+        counters = run_evaluate(spark, cfg, now="2026-04-14 10:25:00")
+        assert counters["groups_created"] == 1
+    inc_store, full_store = ControlTables(spark, inc.tables_root), ControlTables(spark, full.tables_root)
+    cols = [c for c in inc_store.read("groups").columns if c != "updated_at"]
+    a = sorted(tuple(r) for r in inc_store.read("groups").select(*cols).collect())
+    b = sorted(tuple(r) for r in full_store.read("groups").select(*cols).collect())
+    assert a == b and len(a) == 4
+    processos = inc_store.read("groups").where("table_name = 'processos'").first()
+    assert processos.received_parts == 2
+    assert inc_store.vacuum_groups(keep=1) >= 1
+    assert len(inc_store._versions()) == 1
+    assert inc_store.read("groups").count() == 4
