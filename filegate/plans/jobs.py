@@ -78,7 +78,8 @@ def ingest_batch(spark: SparkSession, config: FilegateConfig, raw: DataFrame, no
     now_col = timestamp_literal(_now(now))
     events = parse.build_file_events(raw, now_col, arrival=config.arrival, checksum=config.checksum,
                                      strict=config.strict)
-    deduped = register.dedupe_by_key(events, copies=True)
+    # staged once: it feeds both the partition list for pruning and the stored-key split
+    deduped = materialize(register.dedupe_by_key(events, copies=True))
     stored_keys = store.pruned("file_events", deduped.select("dt_ref")).select("file_business_key")
     tagged = materialize(register.tag_registered(deduped, stored_keys))
     counters = _row_dict(register.registration_counters(tagged))

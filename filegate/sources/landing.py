@@ -4,8 +4,10 @@
 file bytes are read only for manifests: ``binaryFile`` reads ``content`` only when the
 column is selected, so the listing of all files selects ``path, modificationTime,
 length`` and a second scan with ``pathGlobFilter=*MANIFEST.json`` reads the manifest
-payloads. The two disjoint scans are unioned - no join, no shuffle. Note that
-``binaryFile`` skips names that start with ``_`` or ``.``.
+payloads. The two disjoint scans are unioned - no join, no shuffle. A manifest whose
+raw name hides the suffix behind escapes (``MANIFEST%2Ejson``) is parsed as a manifest
+but gets no payload in the split scan; ``split_scan=False`` reads every file's bytes.
+Note that ``binaryFile`` skips names that start with ``_`` or ``.``.
 """
 
 from __future__ import annotations
