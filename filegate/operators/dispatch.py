@@ -16,7 +16,10 @@ from filegate.functions import keys, rules
 from filegate.operators.groups import GROUP_COLUMNS
 from filegate.operators.register import snapshot_part_rows
 
+# --- Fixed values (must stay equal to the reference for identical results) -----------
+# Fields of one snapshot element, in element (and sort) order.
 SNAPSHOT_FIELDS = ["part_number", "file_name", "file_path", "arrived_at", "file_checksum"]
+# ---------------------------------------------------------------------------------------
 DEFAULT_JSON_MAX_PARTS = 10_000
 DISPATCH_COLUMNS = [
     "dispatch_key",

@@ -15,6 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names, order and types of the tables below are the layouts
+# the engine's consumers read (equal to the reference's tables), except for the extra
+# ``dispatch_files`` table and the ``dt_ref`` partition column of ``audit``.
+
 RAW_LISTING_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
