@@ -30,19 +30,23 @@ def _col(c: Column | str) -> Column:
 def timestamp_literal(value: _dt.datetime | str | Column | None, ntz: bool = False) -> Column:
     """One processing-time value for a whole run.
 
-    ``None`` means the current time (taken once per query); a ``datetime`` or
-    ``'yyyy-MM-dd HH:mm:ss'`` text is a fixed instant, typed as ``TIMESTAMP_NTZ`` when
-    ``ntz`` (the shared test tables are NTZ) and as session-zone ``TIMESTAMP`` otherwise.
+    ``None`` means the current time (taken once per query); a ``datetime`` or ISO text is
+    a fixed value, typed as ``TIMESTAMP_NTZ`` when ``ntz`` (the shared test tables are
+    NTZ), else as ``TIMESTAMP``: naive values are read as UTC, so the instant does not
+    depend on the session time zone.
     """
     if isinstance(value, Column):
         return value
     if value is None:
         now = F.current_timestamp()
         return now.cast("timestamp_ntz") if ntz else now
-    if isinstance(value, _dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    text = F.lit(str(value))
-    return F.to_timestamp_ntz(text) if ntz else F.to_timestamp(text)
+    if isinstance(value, str):
+        value = _dt.datetime.fromisoformat(value)
+    if ntz:
+        return F.to_timestamp_ntz(F.lit(value.replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")))
+    # a naive value is a UTC wall time; an aware one keeps its instant (any session zone)
+    aware = value if value.tzinfo is not None else value.replace(tzinfo=_dt.timezone.utc)
+    return F.lit(aware).cast("timestamp")
 
 
 def expires_at(first_seen_at: Column | str, timeout_minutes: int) -> Column:
