@@ -9,6 +9,9 @@ failure (same files, same keys) inserts nothing twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from filegate.functions.rules import timestamp_literal
 
 from filegate.plans.jobs import FilegateConfig, ingest_batch
 from filegate.sources.landing import read_landing, read_landing_stream
@@ -19,11 +22,12 @@ COUNTERS = ("raw_events", "unique_candidates", "inserted", "duplicates", "parse_
 
 
 def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
-                      max_files_per_trigger: int | None = None) -> dict:
+                      max_files_per_trigger: int | None = None, modified_after=None) -> dict:
     """``trigger(availableNow=True)``: process every file not yet seen, then return totals.
 
     ``now`` fixes the ingest time of every micro-batch (tests); by default each batch
-    takes the current time.
+    takes the current time. ``modified_after`` (a timestamp) skips files written before
+    it - the "do not include existing files" start of a new landing area.
     """
     if not config.checkpoints_root:
         raise ValueError("streaming ingest needs config.checkpoints_root")
@@ -32,7 +36,11 @@ def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
     totals = {k: 0 for k in COUNTERS}
     totals["batches"] = 0
 
+    start = timestamp_literal(modified_after) if modified_after is not None else None
+
     def process(batch: DataFrame, batch_id: int) -> None:
+        if start is not None:
+            batch = batch.where(F.col("modificationTime") >= start)
         result = ingest_batch(spark, config, batch, now=now, store=store)
         for key, value in result.items():
             totals[key] = totals.get(key, 0) + value

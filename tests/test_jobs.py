@@ -182,3 +182,10 @@ def test_incremental_refresh_equals_full_refresh(spark, scratch):
     assert inc_store.vacuum_groups(keep=1) >= 1
     assert len(inc_store._versions()) == 1
     assert inc_store.read("groups").count() == 4
+
+
+def test_stream_can_skip_existing_files(spark, demo, scratch):
+    cfg = FilegateConfig(tables_root=f"file:{scratch}/skip_tables", landing=demo.landing,
+                         checkpoints_root=f"file:{scratch}/skip_ckpt")
+    out = run_ingest_stream(spark, cfg, now="2026-04-14 10:00:00", modified_after="2999-01-01 00:00:00")
+    assert out["inserted"] == 0 and out["raw_events"] == 0
