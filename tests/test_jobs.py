@@ -189,3 +189,18 @@ def test_stream_can_skip_existing_files(spark, demo, scratch):
                          checkpoints_root=f"file:{scratch}/skip_ckpt")
     out = run_ingest_stream(spark, cfg, now="2026-04-14 10:00:00", modified_after="2999-01-01 00:00:00")
     assert out["inserted"] == 0 and out["raw_events"] == 0
+
+
+def test_run_cycle_uses_one_processing_time(spark, demo):
+    from filegate.plans.jobs import run_cycle
+
+    out = run_cycle(spark, demo, now="2026-04-14 10:00:00")
+    assert out["ingest"]["inserted"] == 7
+    # arrival = ingest time, so only the complete group is ready at the same instant
+    assert (out["evaluate"]["ready_all_parts"], out["evaluate"]["ready_timeout"]) == (1, 0)
+    assert out["dispatch"]["dispatched"] == 1
+    later = run_cycle(spark, demo, now="2026-04-14 10:30:00")
+    assert later["ingest"]["inserted"] == 0
+    assert (later["evaluate"]["ready_timeout"], later["dispatch"]["dispatched"]) == (2, 2)
+    store = ControlTables(spark, demo.tables_root)
+    assert {r.status for r in store.read("groups").collect()} == {"DISPATCHED"}
