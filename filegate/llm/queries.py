@@ -26,12 +26,36 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.neardup import component_report
+
+    return component_report(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filegate.llm.warc import warc_round_trip
 
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filegate.llm.kdtree import kd_shards
 
