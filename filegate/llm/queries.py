@@ -56,6 +56,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.recurrent import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op9_kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filegate.llm.kdtree import kd_shards
 
