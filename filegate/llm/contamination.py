@@ -281,3 +281,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their columns unchanged."""
+    found = contamination(docs, benchmark, text_col=text_col, keep=True, **options)
+    return found.filter(~by_name(found.columns[-1])).select(*map(by_name, docs.columns))
