@@ -1,13 +1,12 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, and Gumbel top-k.
 
 The raw model counts the words and word pairs of all documents, hashed into buckets; the target
-model those of a bounded sample of labelled good documents. A document's log weight is the mean
+model those of the good documents in one half of a bounded labelled sample. A document's log weight is the mean
 over its n-grams of log(target / raw), drawn to 0 by ``PRIOR`` n-grams of ratio 1, so that a few
 words do not condemn a short text. Gumbel noise, a function of the id and a seed, is added to the
 tempered weight, and the k largest are taken: a sample without replacement in proportion to
 the tempered weights. k is the number of documents whose weight reaches the cut that parts the
-labelled sample best, so the sample is as large as the part of the corpus that looks like the
-target.
+sample's other half best, so as many are taken as look like the target.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filegate.llm.staging import by_name, fresh, stage
+from filegate.llm.staging import by_name, fold, fresh, stage
 from filegate.llm.sums import labelled_sample, sum_arrays
 from filegate.llm.text import BLANKS, Words, mix, word_slices
 
@@ -32,7 +31,7 @@ TEMPER = 200.0
 SEED = 20
 PRIOR = 20
 #: Smoothing: counts added to every bucket, in all.
-SMOOTH = float(BUCKETS)
+SMOOTH = 4.0 * BUCKETS
 BINS = 1024
 
 
@@ -46,7 +45,7 @@ def ngram_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ngram_counts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str) -> np.ndarray:
-    """Counts per bucket of all texts, and of the sampled texts labelled 1: an array of 2 * BUCKETS."""
+    """Counts per bucket of all texts, and of the first half's texts labelled 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS))
@@ -59,7 +58,8 @@ def ngram_counts(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["value"])
 
     rows = docs.select(by_name(id_col).alias("id"), by_name(text_col).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(sample), F.col("id") == F.col("sample_id"), "left").select("label", "text")
+    half = sample.filter(fold(F.col("sample_id"), 2) == 0)  # at most sample_rows rows
+    rows = rows.join(F.broadcast(half), F.col("id") == F.col("sample_id"), "left").select("label", "text")
     return sum_arrays(rows.mapInArrow(run, "value binary"), 2 * BUCKETS).reshape(2, BUCKETS)
 
 
@@ -187,8 +187,9 @@ def _choose(weights: DataFrame, id_name: str, weight: str, uid: str, sample: Dat
             temper: float, seed: int) -> tuple[DataFrame, Column]:
     """The staged weights with their keys, and the condition of selection."""
     if k is None:
+        half = sample.filter(fold(F.col("sample_id"), 2) == 1)
         seen = weights.select(by_name(id_name).alias("w_id"), by_name(weight).alias("w")).join(
-            F.broadcast(sample), F.col("w_id") == F.col("sample_id")).select("w", "label").toArrow()
+            F.broadcast(half), F.col("w_id") == F.col("sample_id")).select("w", "label").toArrow()
         cut = best_cut(seen["w"].to_numpy(), seen["label"].to_numpy() == 1) if seen.num_rows else -np.inf
         k = weights.filter(by_name(weight) >= F.lit(float(cut))).count()
     key = fresh(weights, "key")
