@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filegate.llm.staging import by_name, fresh
+from filegate.llm.staging import by_name, fresh, map_batches, stage
 from filegate.llm.text import PUNCTUATION, mix, text_buffer, word_slices
 
 WINDOW_WORDS = 13
@@ -135,13 +135,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     text_at = docs.columns.index(text_col) if keep else 1
     source = docs if keep else docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     names = _names(docs) if keep else ["n_words", "n_hit", "n_items", "items_sha256"]
-    kinds = (T.LongType(), T.LongType(), T.LongType(), T.StringType())
-    schema = T.StructType([*source.schema.fields, *map(T.StructField, names, kinds)])
-
+    added = list(map(T.StructField, names, (T.LongType(), T.LongType(), T.LongType(), T.StringType())))
     empty = _digest(set())
-    field_names = [f.name for f in schema]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], field_names: list[str]) -> Iterator[pa.RecordBatch]:
         known = _window_set(shared)
         for batch in batches:
             for low, high, words in word_slices(batch.column(text_at), PUNCTUATION):
@@ -153,7 +150,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     [*batch.slice(low, n).columns, pa.array(words.counts()), pa.array(hits), pa.array(items),
                      pa.array(digests, pa.string())], names=field_names)
 
-    out = source.mapInArrow(run, schema)
+    out = map_batches(source, run, added)
     return _verdict(out, docs, id_col, keep, names)
 
 
@@ -185,8 +182,6 @@ def _by_join(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str, ke
     Document windows and benchmark windows meet by hash; verified hits come back to their
     document as (position, length, item), and words under any of them are counted.
     """
-    from filegate.llm.staging import stage
-
     row = fresh(docs, "_row")
     numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "contamination-docs")
     lengths = [r[0] for r in windows.select("length").distinct().collect()]
@@ -258,9 +253,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     if len(rows) > broadcast_windows:
         raise ValueError("too many benchmark windows to broadcast; use contamination()")
     shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
-    at, names = docs.columns.index(text_col), docs.columns
+    at = docs.columns.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
         known = _window_set(shared)
         for batch in batches:
             raw, offsets = text_buffer(batch.column(at))
@@ -280,7 +275,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, [])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filegate.llm.staging import by_name, fold, fresh, stage
+from filegate.llm.staging import by_name, fold, fresh, map_batches, stage
 from filegate.llm.sums import labelled_sample, sum_arrays
 from filegate.llm.text import BLANKS, Words, mix, word_slices
 
@@ -80,9 +80,8 @@ def weigh(docs: DataFrame, ratios: np.ndarray, text_col: str) -> tuple[DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
     at = docs.columns.index(text_col)
     n_grams, log_weight = fresh(docs, "n_grams"), fresh(docs, "log_weight")
-    names = [*docs.columns, n_grams, log_weight]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             for low, high, words in word_slices(batch.column(at), BLANKS):
@@ -93,9 +92,8 @@ def weigh(docs: DataFrame, ratios: np.ndarray, text_col: str) -> tuple[DataFrame
                     [*batch.slice(low, high - low).columns, pa.array(n.astype(np.int64)),
                      pa.array(total / (n + PRIOR))], names=names)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(n_grams, T.LongType()),
-                           T.StructField(log_weight, T.DoubleType())])
-    return docs.mapInArrow(run, schema), n_grams, log_weight
+    added = [T.StructField(n_grams, T.LongType()), T.StructField(log_weight, T.DoubleType())]
+    return map_batches(docs, run, added), n_grams, log_weight
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray) -> float:

@@ -6,10 +6,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import filegate
 from filegate.session import checkpoint_dir, default_checkpoint_dir
@@ -50,6 +52,18 @@ def by_name(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def map_batches(df: DataFrame, fn: Callable, added: list[T.StructField]) -> DataFrame:
+    """``df.mapInArrow`` that appends columns, for any column names (inside, columns go by position).
+
+    ``fn(batches, names)`` gets the names its batches must have.
+    """
+    inside = [T.StructField(f"_column_{i}", f.dataType) for i, f in enumerate(df.schema.fields)]
+    schema = T.StructType([*inside, *added])
+    names = [f.name for f in schema.fields]
+    out = df.toDF(*names[:len(inside)]).mapInArrow(lambda batches: fn(batches, names), schema)
+    return out.toDF(*df.columns, *[f.name for f in added])
+
+
 def fold(id_col: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as the empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % folds

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filegate.llm.staging import by_name, fold, fresh, stage
+from filegate.llm.staging import by_name, fold, fresh, map_batches, stage
 from filegate.llm.sums import labelled_sample
 from filegate.llm.text import PUNCTUATION, Words, mix, word_slices
 
@@ -238,18 +238,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with a score column under a name that is free; a null text counts as empty."""
     name = fresh(docs, "score")
-    at, names = docs.columns.index(text_col), [*docs.columns, name]
+    at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             for low, high, words in word_slices(batch.column(at), PUNCTUATION):
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(low, high - low).columns, pa.array(known.scores(words))], names=names)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
-    return docs.mapInArrow(run, schema), name
+    return map_batches(docs, run, [T.StructField(name, T.DoubleType())]), name
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
