@@ -74,7 +74,8 @@ def kd_shards(docs: DataFrame, dims: list[str | Column], shards: int | None = No
         F.shiftright(F.xxhash64(text), 12).cast("double").alias("h"),
         F.coalesce(by_name(id_col).cast("double"), F.lit(-1.0)).alias("idk"),
         F.monotonically_increasing_id().alias("uid"), *coords)
-    narrow = stage(narrow.withColumn("u", F.col("uid").cast("double")), "kdtree-rows")
+    # the root's number is a stored column: joins on it are hash joins from the first level on
+    narrow = stage(narrow.select("*", F.col("uid").cast("double").alias("u"), F.lit(0).alias("node")), "kdtree-rows")
 
     spans = narrow.agg(F.sum("size").alias("w"), F.count("*").alias("n"),
                        *[f(f"d{i}").alias(f"{f.__name__}{i}") for i in range(len(dims)) for f in (F.min, F.max)]
@@ -84,7 +85,7 @@ def kd_shards(docs: DataFrame, dims: list[str | Column], shards: int | None = No
     extent = [max((spans[f"max{i}"] or 0.0) - (spans[f"min{i}"] or 0.0), 1e-12) for i in range(len(dims))]
     tolerance = WHOLE_GROUP * total / leaves
 
-    at, nodes = narrow.withColumn("node", F.lit(0)), {0: Node(leaves, 0, total)}
+    at, nodes = narrow, {0: Node(leaves, 0, total)}
     if rows:
         at, nodes = _grow(at, nodes, extent, tolerance, len(dims))
     shard = F.coalesce(*[F.when(F.col("node") == i, F.lit(n.first_leaf)) for i, n in nodes.items()])

@@ -181,6 +181,7 @@ def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bo
     """
     p = percent / 100
     least = math.floor(count * (p - DEVIATIONS * math.sqrt(p * (1 - p) / count)))
+    most = FIRST_PAIRS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = [], []
@@ -194,7 +195,7 @@ def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bo
                                    for i in range(0, len(a), 4096)] or [np.zeros(0, np.int64)])
             ok = near >= least
             a, b, near = a[ok], b[ok], near[ok]
-            if not everything and len(a) > FIRST_PAIRS * len(cid):
+            if not everything and len(a) > most * len(cid):
                 kept = _forest(len(cid), np.stack((a, b)), near)
                 a, b = a[kept], b[kept]
                 first.append(np.array([g]))

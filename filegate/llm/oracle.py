@@ -52,7 +52,48 @@ SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) A
 FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+#: Shingle sets as lists of distinct word triples; pairs meet on a shared shingle; components spread by smallest id.
+OP3 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[ 	-]+'), x -> x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)])
+                 END AS s
+  FROM docs
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), classes AS (
+  SELECT min(doc_id) AS rep, any_value(s) AS s, len(any_value(s)) AS n
+  FROM sets WHERE len(s) > 0 GROUP BY list_sort(s)
+), grams AS (
+  SELECT rep, n, unnest(s) AS g FROM classes
+), pairs AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS common
+  FROM grams a JOIN grams b ON a.g = b.g AND a.rep < b.rep
+   AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep
+), links AS (
+  SELECT a, b FROM pairs WHERE 100 * common >= 85 * (na + nb - common)
+  UNION SELECT b, a FROM pairs WHERE 100 * common >= 85 * (na + nb - common)
+), reach(a, b) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), smallest AS (
+  SELECT a AS rep, least(a, min(b)) AS component FROM reach GROUP BY a
+), members AS (
+  SELECT s.doc_id, len(s.s) AS n, c.rep FROM sets s LEFT JOIN classes c ON len(s.s) > 0 AND list_sort(s.s) = list_sort(c.s)
+)
+SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles, coalesce(component, m.rep, m.doc_id) AS component_id,
+       m.doc_id = coalesce(component, m.rep, m.doc_id) AS kept
+FROM members m LEFT JOIN smallest USING (rep)
+"""
+
 
 def statements() -> dict[str, str]:
     """SQL per query name."""
-    return {"op4_warc": OP4, "op10_decontamination": OP10}
+    return {"op3_near_duplicates": OP3, "op4_warc": OP4, "op10_decontamination": OP10}
