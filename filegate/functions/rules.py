@@ -42,10 +42,11 @@ def timestamp_literal(value: _dt.datetime | str | Column | None, ntz: bool = Fal
         return now.cast("timestamp_ntz") if ntz else now
     if isinstance(value, str):
         value = _dt.datetime.fromisoformat(value)
-    if ntz:
-        return F.to_timestamp_ntz(F.lit(value.replace(tzinfo=None).strftime("%Y-%m-%d %H:%M:%S.%f")))
     # a naive value is a UTC wall time; an aware one keeps its instant (any session zone)
     aware = value if value.tzinfo is not None else value.replace(tzinfo=_dt.timezone.utc)
+    if ntz:
+        utc = aware.astimezone(_dt.timezone.utc)
+        return F.to_timestamp_ntz(F.lit(utc.strftime("%Y-%m-%d %H:%M:%S.%f")))
     return F.lit(aware).cast("timestamp")
 
 

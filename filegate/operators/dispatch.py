@@ -1,10 +1,8 @@
 """Dispatch: READY groups -> one ``SENT`` row each, exactly once, with a part snapshot.
 
-The part snapshot is kept as rows (``dispatch_files``), one per part file, so a group of
-any size is stored whole without funnelling it into one value. The JSON copy on the
-dispatch row is built only for groups whose part count is within ``json_max_parts``
-(checked by a skew-safe count first); larger groups carry ``files_snapshot_json = null``
-and ``snapshot_parts = n``, and their snapshot is read from ``dispatch_files``.
+The part snapshot is kept as rows (``dispatch_files``), one per part file, in one form for
+groups of every size; the dispatch row carries their number. ``snapshot_chunks`` gives the rows as
+JSON texts of bounded size.
 """
 
 from __future__ import annotations
@@ -20,21 +18,7 @@ from filegate.operators.register import snapshot_part_rows
 # Fields of one snapshot element, in element (and sort) order.
 SNAPSHOT_FIELDS = ["part_number", "file_name", "file_path", "arrived_at", "file_checksum"]
 # ---------------------------------------------------------------------------------------
-DEFAULT_JSON_MAX_PARTS = 10_000
-DISPATCH_COLUMNS = [
-    "dispatch_key",
-    "group_key",
-    "system_name",
-    "table_name",
-    "dt_ref",
-    "dispatched_at",
-    "dispatch_reason",
-    "expected_parts",
-    "received_parts",
-    "incomplete_flag",
-    "files_snapshot_json",
-    "status",
-]
+CHUNK_PARTS = 1000
 
 
 def ready_groups(state: DataFrame, limit: int | None = None) -> DataFrame:
@@ -69,44 +53,38 @@ def already_dispatched(ready: DataFrame, dispatch_table: DataFrame) -> DataFrame
     )
 
 
-def snapshot_rows(groups: DataFrame, file_events: DataFrame, bounded: bool = False) -> DataFrame:
+def snapshot_rows(groups: DataFrame, file_events: DataFrame) -> DataFrame:
     """Part files of the given groups (``group_key, dispatch_key``), one row per file.
 
-    ``bounded=True`` states that ``groups`` is limited by the dispatch batch limit: it is
-    then broadcast, so part rows are never shuffled by group and a group holding a large
-    share of all files does not land in one task. Otherwise AQE's skew-join split applies.
+    A plain join on the group: AQE splits the part rows of a hot group over tasks.
     """
-    parts = snapshot_part_rows(file_events).select("group_key", "dt_ref", *SNAPSHOT_FIELDS)
+    parts = snapshot_part_rows(file_events).select("group_key", "dt_ref", "file_business_key", *SNAPSHOT_FIELDS)
     keys = groups.select("group_key", "dispatch_key")
-    if bounded:
-        keys = F.broadcast(keys)
-    return parts.join(keys, "group_key", "inner").select("dispatch_key", "group_key", *SNAPSHOT_FIELDS, "dt_ref")
+    return parts.join(keys, "group_key", "inner").select(
+        "dispatch_key", "group_key", "file_business_key", *SNAPSHOT_FIELDS, "dt_ref")
 
 
-def snapshot_summary(rows: DataFrame, json_max_parts: int = DEFAULT_JSON_MAX_PARTS,
-                     bounded: bool = False) -> DataFrame:
-    """Per dispatch key: ``snapshot_parts`` and, within the bound, the JSON array of the
-    parts sorted by ``(part_number, file_name, ...)`` (null part numbers first).
+def part_counts(parts: DataFrame) -> DataFrame:
+    """``snapshot_parts`` per group of part rows (a partial, map-side count: a hot group is counted in place)."""
+    return parts.groupBy("group_key").agg(F.count(F.lit(1)).alias("snapshot_parts"))
 
-    The count is a partial (map-side) aggregation; only groups within ``json_max_parts``
-    are collected, so no collected list exceeds the bound. ``bounded`` as in
-    ``snapshot_rows`` (one count row per dispatched group).
+
+def snapshot_chunks(rows: DataFrame) -> DataFrame:
+    """The snapshot as JSON arrays, one per ``CHUNK_PARTS`` part numbers of a group.
+
+    Stored keys are unique per group and part number, so a chunk holds at most ``CHUNK_PARTS``
+    elements whatever the size of the group, and a large group spreads over many rows. Elements
+    are sorted by ``(part_number, file_name, ...)``; chunk -1 has the part without a number.
     """
-    counts = rows.groupBy("dispatch_key").agg(F.count(F.lit(1)).alias("snapshot_parts"))
-    within = counts.where(F.col("snapshot_parts") <= json_max_parts)
-    if bounded:
-        within = F.broadcast(within)
-    small = rows.join(within, "dispatch_key", "left_semi")
-    arrays = small.groupBy("dispatch_key").agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct(*SNAPSHOT_FIELDS)))).alias("files_snapshot_json")
-    )
-    return counts.join(arrays, "dispatch_key", "left")
+    chunk = F.coalesce(F.floor(F.col("part_number") / CHUNK_PARTS).cast("int"), F.lit(-1))
+    element = F.struct(*SNAPSHOT_FIELDS)
+    return rows.groupBy("dispatch_key", "group_key", chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).alias("parts"), F.to_json(F.array_sort(F.collect_list(element))).alias("files_json"))
 
 
-def dispatch_rows(pending: DataFrame, summary: DataFrame, now: Column) -> DataFrame:
-    """Dispatch records for ``pending`` groups at ``now`` (``'[]'`` for no part file)."""
-    joined = pending.join(summary, "dispatch_key", "left")
-    parts = F.coalesce(F.col("snapshot_parts"), F.lit(0).cast("long"))
+def dispatch_rows(pending: DataFrame, counts: DataFrame, now: Column) -> DataFrame:
+    """Dispatch records for ``pending`` groups at ``now``; ``counts`` has the part counts of groups."""
+    joined = pending.join(counts, "group_key", "left")
     return joined.select(
         "dispatch_key",
         "group_key",
@@ -118,21 +96,17 @@ def dispatch_rows(pending: DataFrame, summary: DataFrame, now: Column) -> DataFr
         "expected_parts",
         "received_parts",
         "incomplete_flag",
-        F.when(parts == 0, F.lit("[]")).otherwise(F.col("files_snapshot_json")).alias("files_snapshot_json"),
+        F.coalesce("snapshot_parts", F.lit(0).cast("long")).alias("snapshot_parts"),
         F.lit(rules.DISPATCH_STATUS_SENT).alias("status"),
-        parts.alias("snapshot_parts"),
     )
 
 
-def mark_dispatched(state: DataFrame, updates: DataFrame, bounded: bool = False) -> DataFrame:
+def mark_dispatched(state: DataFrame, updates: DataFrame) -> DataFrame:
     """New state: groups in ``updates (group_key, dispatched_at)`` become DISPATCHED.
 
-    ``triggered_at`` keeps an earlier value. ``bounded=True`` states that ``updates`` is
-    limited by the dispatch batch limit, which makes broadcasting it safe.
+    ``triggered_at`` keeps an earlier value.
     """
     u = updates.select("group_key", F.col("dispatched_at").alias("_dispatched_at"))
-    if bounded:
-        u = F.broadcast(u)
     j = state.join(u, "group_key", "left")
     hit = F.col("_dispatched_at").isNotNull()
     changed = {

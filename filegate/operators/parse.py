@@ -9,6 +9,8 @@ from filegate.functions import keys, parsing
 from filegate.schemas import FILE_EVENTS_SCHEMA
 
 ARRIVAL_MODES = ("ingest", "modification")
+#: Columns of ``file_events`` that follow from the others and the run's time; no shuffle carries them.
+DERIVED_COLUMNS = ("file_event_id", "ingested_at", "is_duplicate", "raw_metadata_json")
 
 
 def _raw_columns(raw: DataFrame) -> DataFrame:
@@ -19,13 +21,14 @@ def _raw_columns(raw: DataFrame) -> DataFrame:
 
 
 def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
-                         strict: bool = False) -> DataFrame:
+                         strict: bool = False, strict_manifest: bool = False) -> DataFrame:
     """Attach the parsed file-name metadata to a landing listing.
 
     ``raw`` has ``path, modificationTime, length[, content]``. ``arrival="ingest"``
     stamps every row with ``now`` (the reference's behaviour, one value per batch);
     ``"modification"`` uses the file's modification time instead. ``strict`` adds the
-    ``PART_NUMBER_OUT_OF_RANGE`` parse error for part numbers beyond int range.
+    ``PART_NUMBER_OUT_OF_RANGE`` parse error for part numbers beyond int range;
+    ``strict_manifest`` makes the diagnosis of a bad manifest payload its parse error.
     """
     if arrival not in ARRIVAL_MODES:
         raise ValueError(f"arrival must be one of {ARRIVAL_MODES}")
@@ -46,71 +49,54 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
         "*",
         parsing.reference_date("dt_ref_str").alias("dt_ref"),
         parsing.part_number("part_number_str", "is_manifest").alias("part_number"),
-        parsing.manifest_expected_parts("content", "is_manifest").alias("expected_parts"),
+        (F.when(F.col("is_manifest"), parsing.strict_expected_parts("content")) if strict_manifest
+         else parsing.manifest_expected_parts("content", "is_manifest")).alias("expected_parts"),
         (now if arrival == "ingest" else F.col("modificationTime")).alias("arrived_at"),
-        now.alias("ingested_at"),
     )
+    error = parsing.parse_error(
+        "logical_file_name", "dt_ref", "part_number_str", "part_number", strict=strict, name_ok=F.col("_name_ok"))
+    if strict_manifest:
+        error = F.coalesce(error, F.when(F.col("is_manifest"), parsing.manifest_error("content")))
     return step3.select(
         *[c for c in step3.columns if c != "_name_ok"],
         parsing.group_key("system_name", "table_name", "dt_ref", "dt_ref_str").alias("group_key"),
-        parsing.parse_error(
-            "logical_file_name", "dt_ref", "part_number_str", "part_number", strict=strict,
-            name_ok=F.col("_name_ok"),
-        ).alias("parse_error"),
-        parsing.raw_metadata_json("path", "logical_file_name", "length", "modificationTime").alias(
-            "raw_metadata_json"
-        ),
+        error.alias("parse_error"),
     )
 
 
-def build_file_events(raw: DataFrame, now: Column, arrival: str = "ingest",
-                      checksum: str | None = None, strict: bool = False) -> DataFrame:
-    """Landing listing -> the 19 columns of ``file_events`` (schema order).
+def parsed_files(raw: DataFrame, now: Column, arrival: str = "ingest", checksum: str | None = None,
+                 strict: bool = False, strict_manifest: bool = False) -> DataFrame:
+    """Landing listing -> what registration carries of each file, with its business key.
 
     ``file_name`` holds the decoded name; ``checksum`` selects the content checksum
     (``None`` off, ``"raw"`` bytes, ``"base64_text"`` the reference's form).
     """
-    parsed = with_parsed_metadata(raw, now, arrival=arrival, strict=strict)
-    prepared = parsed.select(
-        "file_path",
-        F.col("logical_file_name").alias("file_name"),
-        "system_name",
-        "table_name",
-        "dt_ref",
-        "part_number",
-        "is_manifest",
-        "expected_parts",
-        "group_key",
-        keys.content_checksum("content", checksum).alias("file_checksum"),
-        F.col("length").cast("long").alias("file_size"),
-        F.col("modificationTime").alias("source_modification_time"),
-        "arrived_at",
-        "ingested_at",
-        "parse_error",
-        "raw_metadata_json",
-    )
-    keyed = prepared.withColumn("file_business_key", keys.file_business_key())
-    return keyed.select(
-        keys.file_event_id("file_business_key").alias("file_event_id"),
-        "file_path",
-        "file_name",
-        "system_name",
-        "table_name",
-        "dt_ref",
-        "part_number",
-        "is_manifest",
-        "expected_parts",
-        "group_key",
-        "file_business_key",
-        "file_checksum",
-        "file_size",
-        "source_modification_time",
-        "arrived_at",
-        "ingested_at",
-        F.lit(False).alias("is_duplicate"),
-        "parse_error",
-        "raw_metadata_json",
-    )
+    parsed = with_parsed_metadata(raw, now, arrival=arrival, strict=strict, strict_manifest=strict_manifest)
+    named = {
+        "file_name": F.col("logical_file_name"),
+        "file_checksum": keys.content_checksum("content", checksum),
+        "file_size": F.col("length").cast("long"),
+        "source_modification_time": F.col("modificationTime"),
+    }
+    carried = [c for c in FILE_EVENTS_SCHEMA.fieldNames() if c not in (*DERIVED_COLUMNS, "file_business_key")]
+    prepared = parsed.select(*[named[c].alias(c) if c in named else F.col(c) for c in carried])
+    return prepared.withColumn("file_business_key", keys.file_business_key())
+
+
+def complete_file_events(files: DataFrame, now: Column) -> DataFrame:
+    """The columns of ``file_events`` in schema order: what ``parsed_files`` carries, and what follows from it."""
+    derived = {
+        "file_event_id": keys.file_event_id("file_business_key"),
+        "ingested_at": now,
+        "is_duplicate": F.lit(False),
+        "raw_metadata_json": parsing.raw_metadata_json("file_path", "file_name", "file_size",
+                                                       "source_modification_time"),
+    }
+    return files.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FILE_EVENTS_SCHEMA.fieldNames()])
 
 
-FILE_EVENT_COLUMNS = FILE_EVENTS_SCHEMA.fieldNames()
+def build_file_events(raw: DataFrame, now: Column, arrival: str = "ingest", checksum: str | None = None,
+                      strict: bool = False, strict_manifest: bool = False) -> DataFrame:
+    """Landing listing -> the columns of ``file_events`` (schema order)."""
+    return complete_file_events(
+        parsed_files(raw, now, arrival=arrival, checksum=checksum, strict=strict, strict_manifest=strict_manifest), now)

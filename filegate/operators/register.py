@@ -83,13 +83,6 @@ def parse_error_rows(events: DataFrame) -> DataFrame:
     return events.where(F.col("parse_error").isNotNull())
 
 
-def manifest_rows(events: DataFrame, known_count: bool = False) -> DataFrame:
-    rule = F.col("is_manifest")
-    if known_count:
-        rule = rule & F.col("expected_parts").isNotNull()
-    return events.where(rule)
-
-
 def snapshot_part_rows(events: DataFrame) -> DataFrame:
     """Part files that go into a dispatch snapshot: no parse error, not a manifest."""
     return events.where(F.col("parse_error").isNull() & ~F.col("is_manifest"))

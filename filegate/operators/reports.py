@@ -45,8 +45,8 @@ def audit_by_type(audit: DataFrame) -> DataFrame:
 
 def audit_timeline(audit: DataFrame) -> DataFrame:
     """Browse listing: audit rows by time with the columns an operator reads."""
-    return audit.select("event_ts", "event_type", "group_key", "severity", "payload_json").orderBy(
-        "event_ts", "event_type", "group_key"
+    return audit.select("event_ts", "event_type", "group_key", "severity", "payload_json", "audit_id").orderBy(
+        "event_ts", "event_type", "group_key", "audit_id"
     )
 
 

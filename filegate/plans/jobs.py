@@ -1,14 +1,14 @@
-"""The three jobs - ingest, evaluate, dispatch - over the control-table store.
+"""The three jobs - ingest, evaluate, dispatch - over the control tables.
 
-Each job is a chain of the pure operators plus keyed writes, in an order that makes a
+Each job runs one step of ``steps.py`` and writes its results in an order that makes a
 re-run after a crash at any point converge to the same tables:
 
-1. compute the step's diff against the stored tables and materialize it (checkpoint);
-2. append its audit events (deterministic ids; stored ids are skipped);
-3. append the facts / write the new state snapshot.
+1. the audit events (deterministic ids; stored ids are skipped);
+2. the rows of the insert-only tables (stored keys are skipped, row by row);
+3. the group state, last: the partitions of the dates that changed.
 
-A crash after 2 leaves audit rows whose ids the re-run produces again (skipped); a crash
-after 3 leaves nothing to redo. Counters come back as one small row per job.
+A crash after 1 or 2 leaves rows whose keys the re-run produces again and skips.
+Counters come back as one small row per job.
 """
 
 from __future__ import annotations
@@ -16,19 +16,16 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filegate.functions.rules import DEFAULT_DISPATCH_LIMIT, DEFAULT_TIMEOUT_MINUTES, timestamp_literal
-from filegate.operators import audit, dispatch, groups, parse, ready, register
-from filegate.schemas import FILE_EVENTS_SCHEMA
+from filegate.operators import audit, dispatch, register
+from filegate.plans.steps import DispatchStep, EvaluateStep, IngestOptions, IngestStep, ready_left
 from filegate.session import materialize
 from filegate.sources.landing import read_landing
 from filegate.sources.tables import ControlTables
 
-# Largest row count of a key set that is broadcast (one short key per row: a few MB).
-BROADCAST_ROW_BOUND = 100_000
-
 
 @dataclass(frozen=True)
 class FilegateConfig:
@@ -39,15 +36,18 @@ class FilegateConfig:
     checksum: str | None = None
     arrival: str = "ingest"
     strict: bool = False
+    strict_manifest: bool = False
     dispatch_batch_limit: int | None = DEFAULT_DISPATCH_LIMIT
-    snapshot_json_max_parts: int = dispatch.DEFAULT_JSON_MAX_PARTS
-    incremental_refresh: bool = True
-    split_scan: bool = True
+    incremental_refresh: bool = False
 
     @property
     def ingest_checkpoint(self) -> str:
         return f"{self.checkpoints_root.rstrip('/')}/ingest_landing"
 
+    @property
+    def ingest_options(self) -> IngestOptions:
+        return IngestOptions(self.arrival, self.checksum, self.strict, self.strict_manifest)
+
 
 def _now(value) -> _dt.datetime:
     if value is None:
@@ -62,11 +62,8 @@ def _row_dict(df: DataFrame) -> dict:
     return {k: int(v or 0) for k, v in row.asDict().items()} if row else {}
 
 
-def _append_audit(store: ControlTables, events: DataFrame | None, now_col) -> int:
-    if events is None:
-        return 0
-    rows = audit.prepare_audit(events, now_col)
-    return store.insert_if_absent("audit", rows).count()
+def _append_audit(store: ControlTables, events: DataFrame, now_col: Column) -> int:
+    return store.insert_if_absent("audit", materialize(audit.prepare_audit(events, now_col))).count()
 
 
 # --- ingest -------------------------------------------------------------------------------
@@ -76,18 +73,11 @@ def ingest_batch(spark: SparkSession, config: FilegateConfig, raw: DataFrame, no
     """Register one landing listing batch; returns the registration counters."""
     store = store or ControlTables(spark, config.tables_root)
     now_col = timestamp_literal(_now(now))
-    events = parse.build_file_events(raw, now_col, arrival=config.arrival, checksum=config.checksum,
-                                     strict=config.strict)
-    # staged once: it feeds both the partition list for pruning and the stored-key split
-    deduped = materialize(register.dedupe_by_key(events, copies=True))
-    stored_keys = store.pruned("file_events", deduped.select("dt_ref")).select("file_business_key")
-    tagged = materialize(register.tag_registered(deduped, stored_keys))
-    counters = _row_dict(register.registration_counters(tagged))
-    columns = FILE_EVENTS_SCHEMA.fieldNames()
-    inserted = tagged.where("is_new").select(*columns)
-    duplicates = tagged.where(~F.col("is_new")).select(*columns)
-    counters["audit_events"] = _append_audit(store, audit.file_events_audit(inserted, duplicates), now_col)
-    store.append("file_events", inserted)
+    stored = lambda batch: store.near("file_events", batch).select("file_business_key")
+    step = IngestStep(raw, now_col, stored, config.ingest_options)
+    counters = _row_dict(step.counters)
+    counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
+    store.append("file_events", step.inserted)
     return counters
 
 
@@ -95,57 +85,40 @@ def run_ingest(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
     """Batch ingest of everything under ``config.landing`` (a missing folder is empty)."""
     store = ControlTables(spark, config.tables_root)
     store.ensure()
-    raw = read_landing(spark, config.landing, split_scan=config.split_scan)
+    raw = read_landing(spark, config.landing, all_content=config.checksum is not None)
     return ingest_batch(spark, config, raw, now=now, store=store)
 
 
 # --- evaluate -------------------------------------------------------------------------------
 
-def _refresh_input(store: ControlTables, config: FilegateConfig, watermark) -> tuple[DataFrame, DataFrame | None]:
-    """Valid events of the groups to re-aggregate, and the ingest-time bound they cover.
+def _events_to_fold(store: ControlTables, config: FilegateConfig) -> DataFrame:
+    """Valid events to fold: all of them, or all of the groups with an event that no run has folded.
 
-    Incremental: groups with an event ingested after the last snapshot's watermark; the
-    events are read for those groups only (their ``dt_ref`` partitions). The others cannot
-    change while the timeout setting is unchanged.
+    What was folded is known by the data files of ``file_events``, not by any clock; a changed
+    timeout makes every file count as new, because every deadline moves.
     """
-    events = register.valid_events(store.read("file_events"))
-    if not config.incremental_refresh or watermark is None:
-        return events, None
-    fresh = events.where(F.col("ingested_at") > F.lit(watermark))
-    touched = materialize(fresh.select("group_key", "dt_ref").distinct())
-    pruned = register.valid_events(store.pruned("file_events", touched.select("dt_ref")))
-    keys = touched.select("group_key")
-    if touched.count() <= BROADCAST_ROW_BOUND:
-        # checked size: events of a hot group are filtered in place, not shuffled to one task
-        keys = F.broadcast(keys)
-    return pruned.join(keys, "group_key", "left_semi"), touched
+    events = register.valid_events(store.read("file_events", with_file=True))
+    folded = store.folded_files(config.group_timeout_minutes) if config.incremental_refresh else None
+    if folded is None:
+        return events
+    new = events.join(folded, "data_file", "left_anti")
+    touched = materialize(new.select("group_key", "dt_ref").distinct())
+    near = register.valid_events(store.near("file_events", touched))
+    return near.join(touched.select("group_key"), "group_key", "left_semi")
 
 
 def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
     """Refresh the group state from the registered files, then mark ready groups."""
     store = ControlTables(spark, config.tables_root)
     store.ensure()
-    now_value = _now(now)
-    now_col = timestamp_literal(now_value)
-    state = store.read_groups()
-    watermark = store.groups_watermark()
-    events, _ = _refresh_input(store, config, watermark)
-    new_watermark = events.agg(F.max("ingested_at")).first()[0]
-    aggregate = groups.aggregate_groups(events, config.group_timeout_minutes, now_col)
-    merged = materialize(groups.merge_groups(state, aggregate))
-    refreshed = groups.new_state(merged)
-    candidates = materialize(ready.ready_candidates(refreshed, now_col))
-    counters = _row_dict(groups.refresh_counters(merged))
-    counters.update(_row_dict(ready.readiness_counters(candidates)))
-    events_audit = audit.union_events([
-        audit.group_refresh_audit(groups.created_groups(merged), groups.changed_groups(merged),
-                                  groups.manifest_conflicts(merged)),
-        audit.group_ready_events(candidates),
-    ])
-    counters["audit_events"] = _append_audit(store, events_audit, now_col)
-    if watermark is not None and (new_watermark is None or new_watermark < watermark):
-        new_watermark = watermark
-    store.write_groups(ready.mark_ready(refreshed, now_col), new_watermark)
+    now_col = timestamp_literal(_now(now))
+    seen = materialize(store.data_files("file_events")) if config.incremental_refresh else None
+    step = EvaluateStep(store.read("groups"), _events_to_fold(store, config), config.group_timeout_minutes, now_col)
+    counters = _row_dict(step.refresh_counters) | _row_dict(step.readiness_counters)
+    counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
+    store.write_groups(step.evaluated, step.touched_dates)
+    if seen is not None:
+        store.mark_folded(seen, config.group_timeout_minutes)
     return counters
 
 
@@ -154,29 +127,29 @@ def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
 def run_dispatch(spark: SparkSession, config: FilegateConfig, now=None, limit: int | None = -1) -> dict:
     """Dispatch READY groups exactly once and mark them DISPATCHED.
 
-    ``limit=-1`` uses ``config.dispatch_batch_limit``; ``None`` or ``0`` means no limit.
+    ``limit=-1`` uses ``config.dispatch_batch_limit``; ``None`` or ``0`` means no limit. Groups
+    beyond it stay READY; ``ready_left`` counts them.
     """
     store = ControlTables(spark, config.tables_root)
     store.ensure()
     limit = config.dispatch_batch_limit if limit == -1 else limit
     now_col = timestamp_literal(_now(now))
-    state = store.read_groups()
-    ready_rows = materialize(dispatch.ready_groups(state, limit))
-    stored = store.pruned("dispatch", ready_rows.select("dt_ref"))
-    pending = dispatch.to_dispatch(ready_rows, stored)
-    skipped = materialize(dispatch.already_dispatched(ready_rows, stored))
-    bounded = limit is not None and 0 < limit <= BROADCAST_ROW_BOUND
-    files = store.pruned("file_events", ready_rows.select("dt_ref"))
-    snapshot = materialize(dispatch.snapshot_rows(pending, files, bounded=bounded))
-    summary = dispatch.snapshot_summary(snapshot, config.snapshot_json_max_parts, bounded=bounded)
-    sent = materialize(dispatch.dispatch_rows(pending, summary, now_col))
-    counters = _row_dict(dispatch.dispatch_counters(ready_rows, sent, skipped))
-    stored_files = store.pruned("dispatch_files", snapshot.select("dt_ref")).select("dispatch_key").distinct()
-    store.append("dispatch_files", snapshot.join(stored_files, "dispatch_key", "left_anti"))
-    counters["audit_events"] = _append_audit(store, audit.dispatch_audit(sent, skipped), now_col)
-    store.insert_if_absent("dispatch", sent)
-    updates = sent.select("group_key", "dispatched_at").unionByName(skipped.select("group_key", "dispatched_at"))
-    store.write_groups(dispatch.mark_dispatched(state, updates, bounded=bounded), store.groups_watermark())
+    state = store.read("groups")
+    chosen = materialize(DispatchStep(state, None, state, now_col, limit).ready)
+    # the parts registered by now, staged once: the rows, their number and the audit payload agree
+    step = DispatchStep(chosen, store.near("file_events", chosen), store.near("dispatch", chosen), now_col)
+    snapshot = materialize(step.snapshot)
+    step.part_counts = dispatch.part_counts(snapshot)
+    step.skipped = materialize(step.skipped)
+    counters = _row_dict(step.counters)
+    counters["ready_left"] = ready_left(state, limit)
+    counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
+    store.insert_if_absent("dispatch_files", snapshot)
+    store.insert_if_absent("dispatch", step.sent)
+    marks = materialize(step.marks.join(chosen.select("group_key", "dt_ref"), "group_key"))
+    final = DispatchStep(state, None, state, now_col)
+    final.marks = marks.select("group_key", "dispatched_at")
+    store.write_groups(final.final_state, marks.select("dt_ref").distinct())
     return counters
 
 

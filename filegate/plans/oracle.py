@@ -10,12 +10,15 @@ Spark's ``try_`` functions map to DuckDB's ``TRY_CAST`` / ``try_strptime``, ``sh
 
 from __future__ import annotations
 
-from filegate.functions.parsing import BASE_NAME_PATTERN, FILE_NAME_PATTERN, MANIFEST_SUFFIX_PATTERN
 from filegate.plans.scenario import DISPATCH_LIMIT, NOW1, NOW2, SPLIT_MINUTE, TIMEOUT_MINUTES
 
 T1 = f"TIMESTAMP '{NOW1}'"
 T2 = f"TIMESTAMP '{NOW2}'"
-PAT = FILE_NAME_PATTERN
+# Written out here, not taken from the code under test.
+PAT = (r"^SISTEMA=([^|]+)\|TABELA=([^|]+)\|DT_REF=(\d{4}-\d{2}-\d{2})\|"
+       r"(PART=(\d+)\.json|MANIFEST\.json)$")
+BASE_NAME = r"([^/\\]+)$"
+MANIFEST_SUFFIX = r"MANIFEST\.json$"
 JSON_TS = "'%Y-%m-%dT%H:%M:%S.%g'"
 
 LANDING_SQL = f"""
@@ -46,10 +49,11 @@ landing AS (
          CASE event_id % 100
            WHEN 0 THEN 'event_' || CAST(event_id AS VARCHAR) || '.json'
            WHEN 1 THEN 'SISTEMA=EV|TABELA=events|DT_REF=2024-13-01|PART=0001.json'
+           WHEN 2 THEN 'SISTEMA=EV|TABELA=events|DT_REF=2024-01-01|PART=99999999999.json'
            ELSE replace(replace('SISTEMA=EV|TABELA=events|DT_REF=2024-01-01|PART='
                 || lpad(CAST(user_id AS VARCHAR), 4, '0') || '.json', '=', '%3D'), '|', '%7C') END,
          ts, CAST(10 AS BIGINT), props
-  FROM events WHERE event_id % 100 < 3)"""
+  FROM events)"""
 
 
 def parsed_sql(name: str, src: str) -> str:
@@ -57,7 +61,7 @@ def parsed_sql(name: str, src: str) -> str:
     return f"""
 {name}_a AS (
   SELECT path AS file_path, mtime, length, content,
-         regexp_extract(path, '{BASE_NAME_PATTERN}', 1) AS file_name
+         regexp_extract(path, '{BASE_NAME}', 1) AS file_name
   FROM {src}),
 {name}_b AS (
   SELECT *, coalesce(url_decode(file_name), file_name) AS logical_file_name FROM {name}_a),
@@ -67,7 +71,7 @@ def parsed_sql(name: str, src: str) -> str:
     regexp_extract(logical_file_name, '{PAT}', 2) AS table_name,
     regexp_extract(logical_file_name, '{PAT}', 3) AS dt_ref_str,
     regexp_extract(logical_file_name, '{PAT}', 5) AS part_number_str,
-    regexp_matches(logical_file_name, '{MANIFEST_SUFFIX_PATTERN}') AS is_manifest,
+    regexp_matches(logical_file_name, '{MANIFEST_SUFFIX}') AS is_manifest,
     regexp_matches(logical_file_name, '{PAT}') AS name_ok
   FROM {name}_b),
 {name}_d AS (
@@ -118,7 +122,7 @@ G_COLS = ("group_key, system_name, table_name, dt_ref, expected_parts, received_
           "updated_at")
 
 D_COLS = ("dispatch_key, group_key, system_name, table_name, dt_ref, dispatched_at, dispatch_reason, "
-          "expected_parts, received_parts, incomplete_flag, files_snapshot_json, status")
+          "expected_parts, received_parts, incomplete_flag, snapshot_parts, status")
 
 
 def dedupe_sql(name: str, events: str) -> str:
@@ -228,11 +232,6 @@ def ready_sql(name: str, state: str, now: str) -> str:
 
 def dispatch_sql(name: str, state: str, stored_dispatch: str, file_events: str, now: str) -> str:
     """READY groups (``name_ready``), pending, skipped, snapshot rows, sent rows, final state."""
-    snap_json = (
-        "'[' || string_agg('{\"part_number\":' || CAST(part_number AS VARCHAR) || ',\"file_name\":\"' || file_name"
-        " || '\",\"file_path\":\"' || file_path || '\",\"arrived_at\":\"' || strftime(arrived_at, " + JSON_TS +
-        ") || '\"}', ',' ORDER BY part_number, file_name, file_path, arrived_at) || ']'"
-    )
     return f"""
 {name}_ready AS (
   SELECT *, sha256(group_key) AS dispatch_key FROM {state} WHERE status = 'READY'),
@@ -244,18 +243,15 @@ def dispatch_sql(name: str, state: str, stored_dispatch: str, file_events: str,
          r.received_parts, r.incomplete_flag, d.dispatched_at
   FROM {name}_ready r JOIN {stored_dispatch} d ON d.dispatch_key = r.dispatch_key),
 {name}_snap AS (
-  SELECT p.dispatch_key, f.group_key, f.part_number, f.file_name, f.file_path, f.arrived_at, f.file_checksum,
-         f.dt_ref
+  SELECT p.dispatch_key, f.group_key, f.part_number, f.file_name, f.file_path, f.arrived_at
   FROM {file_events} f JOIN {name}_pending p ON f.group_key = p.group_key
   WHERE f.parse_error IS NULL AND NOT f.is_manifest),
 {name}_summary AS (
-  SELECT dispatch_key, count(*) AS snapshot_parts, {snap_json} AS files_snapshot_json
-  FROM {name}_snap GROUP BY dispatch_key),
+  SELECT dispatch_key, count(*) AS snapshot_parts FROM {name}_snap GROUP BY dispatch_key),
 {name}_sent AS (
   SELECT p.dispatch_key, p.group_key, p.system_name, p.table_name, p.dt_ref, {now} AS dispatched_at,
          p.ready_reason AS dispatch_reason, p.expected_parts, p.received_parts, p.incomplete_flag,
-         CASE WHEN coalesce(m.snapshot_parts, 0) = 0 THEN '[]' ELSE m.files_snapshot_json END AS files_snapshot_json,
-         'SENT' AS status, CAST(coalesce(m.snapshot_parts, 0) AS BIGINT) AS snapshot_parts
+         CAST(coalesce(m.snapshot_parts, 0) AS BIGINT) AS snapshot_parts, 'SENT' AS status
   FROM {name}_pending p LEFT JOIN {name}_summary m ON p.dispatch_key = m.dispatch_key),
 {name}_updates AS (
   SELECT group_key, dispatched_at FROM {name}_sent
@@ -273,47 +269,92 @@ def dispatch_sql(name: str, state: str, stored_dispatch: str, file_events: str,
   SELECT {D_COLS} FROM {stored_dispatch} UNION ALL SELECT {D_COLS} FROM {name}_sent)"""
 
 
-def _event(etype: str, group: str, fkey: str, sev: str, dedupe: str, src: str, where: str = "true") -> str:
-    return (f"SELECT {etype} AS event_type, {group} AS group_key, {fkey} AS file_business_key, {sev} AS severity, "
-            f"{dedupe} AS dedupe_key FROM {src} WHERE {where}")
+def json_sql(*fields: tuple[str, str] | tuple[str, str, str]) -> str:
+    """SQL text of a JSON object of (name, kind[, expression]); null fields are left out.
+
+    Kinds: s text, n number or boolean, t timestamp, a list.
+    """
+    forms = {"s": "'\"' || CAST({e} AS VARCHAR) || '\"'", "n": "CAST({e} AS VARCHAR)",
+             "t": "'\"' || strftime({e}, " + JSON_TS + ") || '\"'", "a": "to_json({e})"}
+    parts = []
+    for name, kind, *expr in fields:
+        e = expr[0] if expr else name
+        parts.append(f"CASE WHEN {e} IS NOT NULL THEN '\"{name}\":' || {forms[kind].format(e=e)} END")
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+# Payloads by event type: the fields, in order, of the event's JSON.
+PAYLOADS = {
+    "FILE_REGISTERED": json_sql(("file_path", "s"), ("file_name", "s"), ("system_name", "s"), ("table_name", "s"),
+                                ("dt_ref", "s"), ("part_number", "n"), ("is_manifest", "n"), ("expected_parts", "n"),
+                                ("arrived_at", "t")),
+    "MANIFEST_REGISTERED": json_sql(("file_name", "s"), ("expected_parts", "n"), ("arrived_at", "t"),
+                                    ("parse_error", "s")),
+    "PARSE_ERROR": json_sql(("file_name", "s"), ("file_path", "s"), ("parse_error", "s")),
+    "FILE_DUPLICATE_IGNORED": json_sql(("file_name", "s"), ("file_path", "s"), ("system_name", "s"),
+                                       ("table_name", "s"), ("dt_ref", "s"), ("part_number", "n")),
+    "GROUP_CREATED": json_sql(("system_name", "s"), ("table_name", "s"), ("dt_ref", "s"), ("first_seen_at", "t"),
+                              ("last_seen_at", "t"), ("received_parts", "n", "agg_received_parts"),
+                              ("manifest_expected_parts", "n")),
+    "GROUP_UPDATED": json_sql(("received_parts", "n", "agg_received_parts"), ("manifest_expected_parts", "n"),
+                              ("first_seen_at", "t"), ("last_seen_at", "t"), ("expires_at", "t")),
+    "MANIFEST_CONFLICT": json_sql(("group_expected_parts", "n", "expected_parts"), ("manifest_expected_parts", "n"),
+                                  ("manifest_expected_values", "a"), ("manifest_distinct_count", "n")),
+    "GROUP_READY": json_sql(("expected_parts", "n"), ("received_parts", "n"), ("expires_at", "t"),
+                            ("ready_reason_candidate", "s"), ("incomplete_flag_calc", "n"), ("evaluated_at", "t")),
+    "GROUP_DISPATCHED": json_sql(("dispatch_key", "s"), ("dispatch_reason", "s"), ("expected_parts", "n"),
+                                 ("received_parts", "n"), ("incomplete_flag", "n"), ("dispatched_at", "t"),
+                                 ("snapshot_parts", "n")),
+    "SKIPPED": json_sql(("dispatch_key", "s"), ("ready_reason", "s"), ("expected_parts", "n"), ("received_parts", "n"),
+                        ("dispatched_at", "t")),
+}
+
+
+def _event(etype: str, fkey: str, sev: str, dedupe: str, payload: str, src: str, where: str = "true") -> str:
+    return (f"SELECT {etype} AS event_type, group_key, {fkey} AS file_business_key, {sev} AS severity, "
+            f"{dedupe} AS dedupe_key, {PAYLOADS[payload]} AS payload_json FROM {src} WHERE {where}")
 
 
 def file_audit_sql(name: str, inserted: str, duplicates: str | None) -> str:
+    key = "file_business_key"
     parts = [
-        _event("'FILE_REGISTERED'", "group_key", "file_business_key",
-               "CASE WHEN parse_error IS NOT NULL THEN 'WARN' ELSE 'INFO' END", "file_business_key", inserted),
-        _event("'MANIFEST_REGISTERED'", "group_key", "file_business_key",
-               "CASE WHEN expected_parts IS NULL THEN 'WARN' ELSE 'INFO' END", "file_business_key || '|manifest'",
-               inserted, "is_manifest"),
-        _event("'PARSE_ERROR'", "group_key", "file_business_key", "'WARN'", "file_business_key || '|parse_error'",
-               inserted, "parse_error IS NOT NULL"),
+        _event("'FILE_REGISTERED'", key, "CASE WHEN parse_error IS NOT NULL THEN 'WARN' ELSE 'INFO' END", key,
+               "FILE_REGISTERED", inserted),
+        _event("'MANIFEST_REGISTERED'", key, "CASE WHEN expected_parts IS NULL THEN 'WARN' ELSE 'INFO' END",
+               f"{key} || '|manifest'", "MANIFEST_REGISTERED", inserted, "is_manifest"),
+        _event("'PARSE_ERROR'", key, "'WARN'", f"{key} || '|parse_error'", "PARSE_ERROR", inserted,
+               "parse_error IS NOT NULL"),
     ]
     if duplicates:
-        parts.append(_event("'FILE_DUPLICATE_IGNORED'", "group_key", "file_business_key", "'INFO'",
-                            "file_business_key || '|duplicate'", duplicates))
+        parts.append(_event("'FILE_DUPLICATE_IGNORED'", key, "'INFO'", f"{key} || '|duplicate'",
+                            "FILE_DUPLICATE_IGNORED", duplicates))
     return f"{name} AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
 
 
+def skipped_sql(src: str) -> str:
+    return _event("'GROUP_DISPATCH_SKIPPED_ALREADY_DONE'", "CAST(NULL AS VARCHAR)", "'INFO'",
+                  "dispatch_key || '|already_done'", "SKIPPED", src)
+
+
 def run_audit_sql(name: str, inserted: str, duplicates: str | None, merged: str, ready: str, disp: str,
                   now: str) -> str:
-    ts = "CAST(%s AS VARCHAR)"
+    ts, none = "CAST(%s AS VARCHAR)", "CAST(NULL AS VARCHAR)"
     parts = [
         f"SELECT * FROM {name}_files",
-        _event("'GROUP_CREATED'", "group_key", "CAST(NULL AS VARCHAR)", "'INFO'",
-               f"group_key || '|' || {ts % 'first_seen_at'}", merged, "created"),
-        _event("'GROUP_UPDATED'", "group_key", "CAST(NULL AS VARCHAR)", "'INFO'",
-               f"group_key || '|' || CAST(agg_received_parts AS VARCHAR) || '|' || {ts % 'last_seen_at'}", merged,
-               "changed"),
-        _event("'MANIFEST_CONFLICT'", "group_key", "CAST(NULL AS VARCHAR)", "'WARN'",
+        _event("'GROUP_CREATED'", none, "'INFO'", f"group_key || '|' || {ts % 'first_seen_at'}", "GROUP_CREATED",
+               merged, "created"),
+        _event("'GROUP_UPDATED'", none, "'INFO'",
+               f"group_key || '|' || CAST(agg_received_parts AS VARCHAR) || '|' || {ts % 'last_seen_at'}",
+               "GROUP_UPDATED", merged, "changed"),
+        _event("'MANIFEST_CONFLICT'", none, "'WARN'",
                "group_key || '|' || CAST(manifest_distinct_count AS VARCHAR) || '|' || "
-               "to_json(manifest_expected_values)", merged, "conflict"),
+               "to_json(manifest_expected_values)", "MANIFEST_CONFLICT", merged, "conflict"),
         _event("CASE WHEN ready_reason_candidate = 'ALL_PARTS' THEN 'GROUP_READY_ALL_PARTS' "
-               "ELSE 'GROUP_READY_TIMEOUT' END", "group_key", "CAST(NULL AS VARCHAR)",
+               "ELSE 'GROUP_READY_TIMEOUT' END", none,
                "CASE WHEN ready_reason_candidate = 'TIMEOUT' AND expected_parts IS NULL THEN 'WARN' ELSE 'INFO' END",
-               "group_key || '|' || ready_reason_candidate", f"{ready}_cand"),
-        _event("'GROUP_DISPATCHED'", "group_key", "CAST(NULL AS VARCHAR)", "'INFO'", "dispatch_key", f"{disp}_sent"),
-        _event("'GROUP_DISPATCH_SKIPPED_ALREADY_DONE'", "group_key", "CAST(NULL AS VARCHAR)", "'INFO'",
-               "dispatch_key || '|already_done'", f"{disp}_skipped"),
+               "group_key || '|' || ready_reason_candidate", "GROUP_READY", f"{ready}_cand"),
+        _event("'GROUP_DISPATCHED'", none, "'INFO'", "dispatch_key", "GROUP_DISPATCHED", f"{disp}_sent"),
+        skipped_sql(f"{disp}_skipped"),
     ]
     return (file_audit_sql(f"{name}_files", inserted, duplicates) + ",\n" + f"{name}_ev AS (\n  "
             + "\n  UNION ALL ".join(parts) + "),\n" + prepare_audit_sql(name, f"{name}_ev", now))
@@ -325,10 +366,22 @@ def prepare_audit_sql(name: str, events: str, now: str) -> str:
   SELECT sha256(concat_ws('|', event_type, coalesce(group_key, '-'), coalesce(file_business_key, '-'),
                           coalesce(dedupe_key, '-'))) AS audit_id,
          event_type, group_key, file_business_key, {now} AS event_ts, coalesce(severity, 'INFO') AS severity,
-         TRY_CAST(nullif(regexp_extract(group_key, '\\|(\\d{{4}}-\\d{{2}}-\\d{{2}})$', 1), '') AS DATE) AS dt_ref
+         TRY_CAST(nullif(regexp_extract(group_key, '\\|(\\d{{4}}-\\d{{2}}-\\d{{2}})$', 1), '') AS DATE) AS dt_ref,
+         payload_json
   FROM {events})"""
 
 
+MANIFEST_ERROR = """
+    CASE WHEN content IS NULL THEN 'EMPTY_MANIFEST_PAYLOAD'
+         WHEN NOT json_valid(content) OR json_type(content) <> 'OBJECT' THEN 'INVALID_MANIFEST_JSON'
+         WHEN json_type(content, '$.expected_parts') IS NULL OR json_type(content, '$.expected_parts') = 'NULL'
+           THEN 'MISSING_EXPECTED_PARTS'
+         WHEN json_type(content, '$.expected_parts') NOT IN ('UBIGINT', 'BIGINT')
+           OR TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) IS NULL
+           OR TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) <= 0
+           THEN 'INVALID_EXPECTED_PARTS' END"""
+
+
 EMPTY_STATE = """
 empty_state AS (
   SELECT CAST(NULL AS VARCHAR) AS group_key, CAST(NULL AS VARCHAR) AS system_name, CAST(NULL AS VARCHAR) AS table_name,
@@ -344,7 +397,7 @@ empty_dispatch AS (
          CAST(NULL AS VARCHAR) AS system_name, CAST(NULL AS VARCHAR) AS table_name, CAST(NULL AS DATE) AS dt_ref,
          CAST(NULL AS TIMESTAMP) AS dispatched_at, CAST(NULL AS VARCHAR) AS dispatch_reason,
          CAST(NULL AS INTEGER) AS expected_parts, CAST(NULL AS INTEGER) AS received_parts,
-         CAST(NULL AS BOOLEAN) AS incomplete_flag, CAST(NULL AS VARCHAR) AS files_snapshot_json,
+         CAST(NULL AS BOOLEAN) AS incomplete_flag, CAST(NULL AS BIGINT) AS snapshot_parts,
          CAST(NULL AS VARCHAR) AS status
   WHERE false)"""
 
@@ -360,6 +413,17 @@ def _chain() -> str:
         aggregate_sql("agg", "dd", T1),
         merge_sql("m0", "empty_state", "agg"),
         ready_sql("r0", "m0_state", T1),
+        file_audit_sql("a0_files", "dd", None),
+        """
+strict AS (
+  SELECT * REPLACE (
+      CASE WHEN is_manifest AND manifest_error IS NULL
+           THEN TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) END AS expected_parts,
+      CASE WHEN parse_error IS NOT NULL THEN parse_error
+           WHEN part_number_str <> '' AND part_number IS NULL AND NOT is_manifest THEN 'PART_NUMBER_OUT_OF_RANGE'
+           WHEN is_manifest THEN manifest_error END AS parse_error)
+  FROM (SELECT *, """ + MANIFEST_ERROR + """ AS manifest_error FROM parsed))""",
+        events_sql("ev_strict", "strict", T1),
         # run 1
         f"\nb1 AS (SELECT * FROM landing WHERE minute(mtime) < {SPLIT_MINUTE})",
         parsed_sql("p1", "b1"),
@@ -390,10 +454,16 @@ fe2 AS (SELECT {FE_COLS} FROM fe1 UNION ALL SELECT {FE_COLS} FROM new2)""",
         f"""
 audit_table AS (
   SELECT * FROM a1 UNION ALL SELECT * FROM a2 WHERE audit_id NOT IN (SELECT audit_id FROM a1)),
-replay_ready AS (SELECT *, sha256(group_key) AS dispatch_key FROM r1 WHERE status = 'READY'),
-replay_skipped AS (
-  SELECT r.dispatch_key, r.group_key, r.ready_reason, d.dispatched_at
-  FROM replay_ready r JOIN d1_table d ON d.dispatch_key = r.dispatch_key)""",
+replay1_ready AS (SELECT *, sha256(group_key) AS dispatch_key FROM r1 WHERE status = 'READY'),
+replay1_skipped AS (
+  SELECT r.*, d.dispatched_at FROM replay1_ready r JOIN d1_table d ON d.dispatch_key = r.dispatch_key),
+replay2_ready AS (SELECT *, sha256(group_key) AS dispatch_key FROM r2 WHERE status = 'READY'),
+replay2_skipped AS (
+  SELECT r.*, d.dispatched_at FROM replay2_ready r JOIN d2_table d ON d.dispatch_key = r.dispatch_key),
+replay1_ev AS (""" + skipped_sql("replay1_skipped") + """),
+replay2_ev AS (""" + skipped_sql("replay2_skipped") + """)""",
+        prepare_audit_sql("replay1_audit", "replay1_ev", T1),
+        prepare_audit_sql("replay2_audit", "replay2_ev", T2),
     ]
     return "WITH " + ",".join(f.strip("\n") for f in frags)
 
@@ -422,17 +492,7 @@ _SELECTS: dict[str, str] = {
 SELECT file_path, content, manifest_error,
        CASE WHEN manifest_error IS NULL THEN TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) END
          AS strict_expected_parts
-FROM (
-  SELECT file_path, content,
-    CASE WHEN content IS NULL THEN 'EMPTY_MANIFEST_PAYLOAD'
-         WHEN NOT json_valid(content) OR json_type(content) <> 'OBJECT' THEN 'INVALID_MANIFEST_JSON'
-         WHEN json_type(content, '$.expected_parts') IS NULL OR json_type(content, '$.expected_parts') = 'NULL'
-           THEN 'MISSING_EXPECTED_PARTS'
-         WHEN json_type(content, '$.expected_parts') NOT IN ('UBIGINT', 'BIGINT')
-           OR TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) IS NULL
-           OR TRY_CAST(json_extract_string(content, '$.expected_parts') AS INTEGER) <= 0
-           THEN 'INVALID_EXPECTED_PARTS' END AS manifest_error
-  FROM parsed WHERE is_manifest)""",
+FROM (SELECT file_path, content, """ + MANIFEST_ERROR + """ AS manifest_error FROM parsed WHERE is_manifest)""",
     "dedupe_files": "SELECT file_business_key, file_path, arrived_at, file_size, n_copies FROM dd",
     "valid_events": ("SELECT file_business_key, group_key, part_number, is_manifest, expected_parts, arrived_at "
                      "FROM dd WHERE parse_error IS NULL AND group_key IS NOT NULL"),
@@ -483,10 +543,24 @@ UNION ALL
 SELECT 2, count(*), count(*) FILTER (WHERE ready_reason_candidate = 'ALL_PARTS'),
        count(*) FILTER (WHERE ready_reason_candidate = 'TIMEOUT') FROM r2_cand""",
     "to_dispatch": "SELECT dispatch_key, group_key, ready_reason FROM d2_pending",
-    "skipped_already_dispatched": "SELECT dispatch_key, group_key, ready_reason, dispatched_at FROM replay_skipped",
-    "file_snapshot": "SELECT dispatch_key, group_key, part_number, file_name, file_path, arrived_at FROM d1_snap",
-    "dispatch_payload": (f"SELECT {D_COLS}, snapshot_parts FROM d1_sent UNION ALL "
-                         f"SELECT {D_COLS}, snapshot_parts FROM d2_sent"),
+    "skipped_already_dispatched": (
+        "SELECT dispatch_key, group_key, ready_reason, dispatched_at FROM replay1_skipped "
+        "UNION ALL SELECT dispatch_key, group_key, ready_reason, dispatched_at FROM replay2_skipped"),
+    "file_snapshot": "SELECT * FROM d1_snap UNION ALL SELECT * FROM d2_snap",
+    "snapshot_chunks": """
+SELECT dispatch_key, group_key, coalesce(part_number // 1000, -1) AS chunk, count(*) AS parts,
+       '[' || string_agg(""" + json_sql(("part_number", "n"), ("file_name", "s"), ("file_path", "s"),
+                                        ("arrived_at", "t")) + """, ','
+                         ORDER BY part_number, file_name, file_path, arrived_at) || ']' AS files_json
+FROM (SELECT * FROM d1_snap UNION ALL SELECT * FROM d2_snap)
+GROUP BY dispatch_key, group_key, coalesce(part_number // 1000, -1)""",
+    "dispatch_payload": f"SELECT {D_COLS} FROM d2_table",
+    "dispatch_listing": f"SELECT {D_COLS} FROM d2_table ORDER BY group_key",
+    "groups_listing": f"SELECT {G_COLS} FROM d2_final ORDER BY group_key",
+    "audit_timeline": ("SELECT event_ts, event_type, group_key, severity, payload_json, audit_id FROM audit_table "
+                       "ORDER BY event_ts, event_type, group_key, audit_id"),
+    "file_events_strict": ("SELECT file_path, is_manifest, part_number, expected_parts, group_key, parse_error, "
+                           "file_business_key FROM ev_strict"),
     "mark_dispatched": f"SELECT {G_COLS} FROM d2_final",
     "dispatch_summary": """
 SELECT 1 AS run, (SELECT count(*) FROM d1_ready) AS ready_groups, (SELECT count(*) FROM d1_sent) AS dispatched,
@@ -494,32 +568,30 @@ SELECT 1 AS run, (SELECT count(*) FROM d1_ready) AS ready_groups, (SELECT count(
 UNION ALL
 SELECT 2, (SELECT count(*) FROM d2_ready), (SELECT count(*) FROM d2_sent), (SELECT count(*) FROM d2_skipped)
 UNION ALL
-SELECT 3, (SELECT count(*) FROM replay_ready),
-       (SELECT count(*) FROM replay_ready WHERE dispatch_key NOT IN (SELECT dispatch_key FROM d1_table)),
-       (SELECT count(*) FROM replay_skipped)""",
+SELECT 3, (SELECT count(*) FROM replay1_ready),
+       (SELECT count(*) FROM replay1_ready WHERE dispatch_key NOT IN (SELECT dispatch_key FROM d1_table)),
+       (SELECT count(*) FROM replay1_skipped)
+UNION ALL
+SELECT 4, (SELECT count(*) FROM replay2_ready),
+       (SELECT count(*) FROM replay2_ready WHERE dispatch_key NOT IN (SELECT dispatch_key FROM d2_table)),
+       (SELECT count(*) FROM replay2_skipped)""",
     "dispatch_batch_limit": f"""
-SELECT group_key, first_seen_at, sha256(group_key) AS dispatch_key FROM r1 WHERE status = 'READY'
+SELECT group_key, first_seen_at, sha256(group_key) AS dispatch_key FROM r0 WHERE status = 'READY'
 ORDER BY first_seen_at, group_key LIMIT {DISPATCH_LIMIT}""",
     "audit_id": """
 SELECT event_type, group_key, file_business_key, dedupe_key,
        sha256(concat_ws('|', event_type, coalesce(group_key, '-'), coalesce(file_business_key, '-'),
                         coalesce(dedupe_key, '-'))) AS audit_id
-FROM a1_files""",
-    "audit_file_events": f"SELECT {_AUDIT_SEL} FROM audit_table WHERE event_type IN {_FILE_TYPES}",
-    "audit_group_events": f"SELECT {_AUDIT_SEL} FROM audit_table WHERE event_type IN {_GROUP_TYPES}",
+FROM a0_files""",
+    "audit_file_events": f"SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_FILE_TYPES}",
+    "audit_group_events": f"SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_GROUP_TYPES}",
     "audit_dispatch_events": f"""
-SELECT {_AUDIT_SEL} FROM (
-  SELECT * FROM audit_table
-  UNION ALL
-  SELECT * FROM (
-    SELECT sha256(concat_ws('|', 'GROUP_DISPATCH_SKIPPED_ALREADY_DONE', group_key, '-',
-                            dispatch_key || '|already_done')) AS audit_id,
-           'GROUP_DISPATCH_SKIPPED_ALREADY_DONE' AS event_type, group_key, CAST(NULL AS VARCHAR) AS file_business_key,
-           {T1} AS event_ts, 'INFO' AS severity,
-           TRY_CAST(nullif(regexp_extract(group_key, '\\|(\\d{{4}}-\\d{{2}}-\\d{{2}})$', 1), '') AS DATE) AS dt_ref
-    FROM replay_skipped)
-  WHERE audit_id NOT IN (SELECT audit_id FROM audit_table))
-WHERE event_type IN {_DISPATCH_TYPES}""",
+SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_DISPATCH_TYPES}
+UNION ALL
+SELECT {_AUDIT_SEL}, payload_json FROM replay1_audit WHERE audit_id NOT IN (SELECT audit_id FROM audit_table)
+UNION ALL
+SELECT {_AUDIT_SEL}, payload_json FROM replay2_audit
+WHERE audit_id NOT IN (SELECT audit_id FROM audit_table) AND audit_id NOT IN (SELECT audit_id FROM replay1_audit)""",
     "audit_append": f"SELECT {_AUDIT_SEL} FROM audit_table",
     "vw_group_status": """
 SELECT status, ready_reason, count(*) AS total_groups,

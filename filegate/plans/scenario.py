@@ -1,6 +1,9 @@
 """The fixture scenario: the whole engine run over the landing derived from the test tables.
 
-Everything is one lazy DataFrame plan per output (no action, no driver-side data):
+Every run is the chain of ``steps.py``, the one the jobs run. Frames that several outputs of a run
+share are staged while the plan is built (an action); single-batch and reporting queries stage
+nothing. Registration carries only the columns the group fold reads, unless a query needs the
+whole ``file_events`` rows (``wide``).
 
 * single batch - all landing rows registered, refreshed and evaluated at ``NOW1``;
 * two runs     - the landing split by minute of the modification time (``< 30`` is
@@ -17,15 +20,16 @@ Arrival time is the file's modification time, so results do not depend on the cl
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filegate.functions.rules import timestamp_literal
-from filegate.operators import audit, dispatch, groups, parse, ready, register
+from filegate.operators import audit, parse, register
+from filegate.plans.steps import FOLD_COLUMNS, DispatchStep, EvaluateStep, IngestOptions, IngestStep
 from filegate.schemas import DISPATCH_SCHEMA, FILE_EVENTS_SCHEMA, GROUPS_SCHEMA
-from filegate.session import materialize
 from filegate.sources.fixture import derived_landing
 
 # --- Fixed scenario parameters ------------------------------------------------------
@@ -36,7 +40,7 @@ SPLIT_MINUTE = 30
 DISPATCH_LIMIT = 100
 # ---------------------------------------------------------------------------------------
 
-FILE_EVENT_COLUMNS = FILE_EVENTS_SCHEMA.fieldNames()
+BY_MODIFICATION = IngestOptions(arrival="modification")
 
 
 def _ntz_schema(schema):
@@ -53,118 +57,74 @@ def _ntz_schema(schema):
 
 
 class Run:
-    """One ingest -> refresh -> evaluate -> dispatch run against stored tables."""
+    """One ingest -> evaluate -> dispatch run against stored tables."""
 
     def __init__(self, batch: DataFrame, now, stored_events: DataFrame, stored_state: DataFrame,
-                 stored_dispatch: DataFrame):
-        self.now = now
-        self.batch = batch
-        self.stored_events = stored_events
-        self.stored_state = stored_state
-        self.stored_dispatch = stored_dispatch
-
-    @cached_property
-    def events(self) -> DataFrame:
-        return parse.build_file_events(self.batch, self.now, arrival="modification")
-
-    @cached_property
-    def deduped(self) -> DataFrame:
-        return register.dedupe_by_key(self.events, copies=True)
-
-    @cached_property
-    def tagged(self) -> DataFrame:
-        return materialize(register.tag_registered(self.deduped, self.stored_events.select("file_business_key")))
-
-    @cached_property
-    def inserted(self) -> DataFrame:
-        return self.tagged.where("is_new").select(*FILE_EVENT_COLUMNS)
-
-    @cached_property
-    def duplicates(self) -> DataFrame:
-        return self.tagged.where(~F.col("is_new")).select(*FILE_EVENT_COLUMNS)
+                 stored_dispatch: DataFrame, columns: Sequence[str] | None, stage: bool):
+        self.now, self.stored_events = now, stored_events
+        self.stored_state, self.stored_dispatch = stored_state, stored_dispatch
+        self.ingest = IngestStep(batch, now, stored_events.select("file_business_key"), BY_MODIFICATION,
+                                 columns=columns, stage=stage)
 
     @cached_property
     def file_events(self) -> DataFrame:
         """The ``file_events`` table after this run (keyed append)."""
-        return self.stored_events.unionByName(self.inserted)
-
-    @cached_property
-    def registration(self) -> DataFrame:
-        return register.registration_counters(self.tagged)
-
-    @cached_property
-    def aggregate(self) -> DataFrame:
-        return groups.aggregate_groups(register.valid_events(self.file_events), TIMEOUT_MINUTES, self.now)
-
-    @cached_property
-    def merged(self) -> DataFrame:
-        return materialize(groups.merge_groups(self.stored_state, self.aggregate))
-
-    @cached_property
-    def refreshed(self) -> DataFrame:
-        return groups.new_state(self.merged)
-
-    @cached_property
-    def candidates(self) -> DataFrame:
-        return ready.ready_candidates(self.refreshed, self.now)
-
-    @cached_property
-    def evaluated(self) -> DataFrame:
-        return ready.mark_ready(self.refreshed, self.now)
+        return self.stored_events.unionByName(self.ingest.inserted)
 
     @cached_property
-    def ready(self) -> DataFrame:
-        return dispatch.ready_groups(self.evaluated)
+    def evaluate(self) -> EvaluateStep:
+        return EvaluateStep(self.stored_state, register.valid_events(self.file_events), TIMEOUT_MINUTES, self.now)
 
     @cached_property
-    def pending(self) -> DataFrame:
-        return dispatch.to_dispatch(self.ready, self.stored_dispatch)
+    def dispatch(self) -> DispatchStep:
+        return DispatchStep(self.evaluate.evaluated, self.file_events, self.stored_dispatch, self.now)
 
     @cached_property
-    def skipped(self) -> DataFrame:
-        return dispatch.already_dispatched(self.ready, self.stored_dispatch)
+    def audit_rows(self) -> DataFrame:
+        """Audit rows of the run (before the keyed append)."""
+        events = audit.union_events(
+            [self.ingest.audit_events, self.evaluate.audit_events, self.dispatch.audit_events])
+        return audit.prepare_audit(events, self.now)
 
-    @cached_property
-    def snapshot(self) -> DataFrame:
-        return dispatch.snapshot_rows(self.pending, self.file_events)
 
-    @cached_property
-    def sent(self) -> DataFrame:
-        return materialize(dispatch.dispatch_rows(self.pending, dispatch.snapshot_summary(self.snapshot), self.now))
+class TwoRuns:
+    """Run 2 over the tables that run 1 leaves."""
 
-    @cached_property
-    def dispatch_table(self) -> DataFrame:
-        return self.stored_dispatch.unionByName(self.sent.select(*DISPATCH_SCHEMA.fieldNames()))
+    def __init__(self, scenario: FixtureScenario, columns: Sequence[str] | None, stage: bool = True):
+        s = scenario
+        schema = _ntz_schema(FILE_EVENTS_SCHEMA)
+        if columns:
+            schema = type(schema)([f for f in schema.fields if f.name in columns])
+        early = F.minute("modificationTime") < SPLIT_MINUTE
+        self.first = Run(s.landing.where(early), s.now1, s.spark.createDataFrame([], schema),
+                         s.empty(GROUPS_SCHEMA), s.empty(DISPATCH_SCHEMA), columns, stage)
+        self.scenario, self.columns, self.stage, self.early = scenario, columns, stage, early
 
     @cached_property
-    def final_state(self) -> DataFrame:
-        updates = self.sent.select("group_key", "dispatched_at").unionByName(
-            self.skipped.select("group_key", "dispatched_at")
-        )
-        return materialize(dispatch.mark_dispatched(self.evaluated, updates))
+    def second(self) -> Run:
+        """The second run (its stored state stages the first run's)."""
+        s, r = self.scenario, self.first
+        return Run(s.landing.where(~self.early), s.now2, r.file_events, r.dispatch.final_state,
+                   r.dispatch.dispatch_table, self.columns, self.stage)
 
     @cached_property
-    def dispatch_summary(self) -> DataFrame:
-        return dispatch.dispatch_counters(self.ready, self.sent, self.skipped)
+    def registered(self) -> IngestStep:
+        """The second run's ingest alone: nothing but the first run's keys is needed for it."""
+        s = self.scenario
+        return IngestStep(s.landing.where(~self.early), s.now2, self.first.file_events.select("file_business_key"),
+                          BY_MODIFICATION, columns=self.columns, stage=self.stage)
 
     @cached_property
-    def audit_events(self) -> DataFrame:
-        """All audit events of the run (before the keyed append)."""
-        frames = [
-            audit.file_events_audit(self.inserted, self.duplicates),
-            audit.group_refresh_audit(
-                groups.created_groups(self.merged),
-                groups.changed_groups(self.merged),
-                groups.manifest_conflicts(self.merged),
-            ),
-            audit.group_ready_events(self.candidates),
-            audit.dispatch_audit(self.sent, self.skipped),
-        ]
-        return audit.union_events(frames)
+    def all_events(self) -> DataFrame:
+        """``file_events`` after both runs."""
+        return self.first.file_events.unionByName(self.registered.inserted)
 
     @cached_property
-    def audit_rows(self) -> DataFrame:
-        return materialize(audit.prepare_audit(self.audit_events, self.now))
+    def audit_table(self) -> DataFrame:
+        """Audit after both runs: run 2 appends only ids run 1 did not store."""
+        first = self.first.audit_rows
+        second = self.second.audit_rows.join(first.select("audit_id"), "audit_id", "left_anti")
+        return first.unionByName(second)
 
 
 class FixtureScenario:
@@ -174,7 +134,7 @@ class FixtureScenario:
         self.now1 = timestamp_literal(NOW1, ntz=True)
         self.now2 = timestamp_literal(NOW2, ntz=True)
 
-    def _empty(self, schema) -> DataFrame:
+    def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], _ntz_schema(schema))
 
     @cached_property
@@ -191,60 +151,53 @@ class FixtureScenario:
         return parse.build_file_events(self.landing, self.now1, arrival="modification")
 
     @cached_property
-    def deduped(self) -> DataFrame:
-        """Survivor per key with the columns the registration reports use."""
-        cols = ["file_business_key", "arrived_at", "source_modification_time", "file_path", "file_size"]
-        return register.dedupe_by_key(self.events.select(*cols), copies=True)
+    def strict_events(self) -> DataFrame:
+        return parse.build_file_events(self.landing, self.now1, arrival="modification", strict=True,
+                                       strict_manifest=True)
 
-    @cached_property
-    def valid(self) -> DataFrame:
-        """Registered valid events with the columns the group fold uses (pruned before
-        the de-duplication shuffle, which carries whole rows)."""
-        cols = ["file_business_key", "arrived_at", "source_modification_time", "file_path", "group_key",
-                "is_manifest", "part_number", "expected_parts", "parse_error"]
-        return register.valid_events(register.dedupe_by_key(self.events.select(*cols)))
-
-    @cached_property
-    def aggregate(self) -> DataFrame:
-        return groups.aggregate_groups(self.valid, TIMEOUT_MINUTES, self.now1)
+    def _batch(self, columns: Sequence[str]) -> IngestStep:
+        none = self.empty(FILE_EVENTS_SCHEMA).select("file_business_key")
+        return IngestStep(self.landing, self.now1, none, BY_MODIFICATION, columns=columns, stage=False)
 
     @cached_property
-    def state(self) -> DataFrame:
-        return groups.new_state(groups.merge_groups(self._empty(GROUPS_SCHEMA), self.aggregate))
+    def deduped(self) -> DataFrame:
+        """Survivor per key with the columns the registration reports use."""
+        return self._batch(["file_business_key", "arrived_at", "source_modification_time", "file_path",
+                            "file_size"]).deduped
 
     @cached_property
-    def candidates(self) -> DataFrame:
-        return ready.ready_candidates(self.state, self.now1)
+    def batch(self) -> EvaluateStep:
+        """The whole landing in one batch, evaluated against no state; nothing is staged."""
+        events = self._batch(FOLD_COLUMNS).deduped
+        return EvaluateStep(self.empty(GROUPS_SCHEMA), register.valid_events(events), TIMEOUT_MINUTES, self.now1,
+                            stage=False)
 
     @cached_property
-    def evaluated(self) -> DataFrame:
-        return ready.mark_ready(self.state, self.now1)
+    def registration(self) -> IngestStep:
+        """The whole landing registered in one batch, whole rows."""
+        none = self.empty(FILE_EVENTS_SCHEMA).select("file_business_key")
+        return IngestStep(self.landing, self.now1, none, BY_MODIFICATION, stage=False)
 
     # --- two runs ----------------------------------------------------------------------
     @cached_property
-    def run1(self) -> Run:
-        batch = self.landing.where(F.minute("modificationTime") < SPLIT_MINUTE)
-        return Run(batch, self.now1, self._empty(FILE_EVENTS_SCHEMA), self._empty(GROUPS_SCHEMA),
-                   self._empty(DISPATCH_SCHEMA))
+    def runs(self) -> TwoRuns:
+        """Both runs, registration limited to what the group fold reads."""
+        return TwoRuns(self, FOLD_COLUMNS)
 
     @cached_property
-    def run2(self) -> Run:
-        batch = self.landing.where(F.minute("modificationTime") >= SPLIT_MINUTE)
-        r1 = self.run1
-        return Run(batch, self.now2, r1.file_events, r1.final_state, r1.dispatch_table)
+    def wide(self) -> TwoRuns:
+        """Both runs with whole ``file_events`` rows."""
+        return TwoRuns(self, None)
 
-    @cached_property
-    def audit_table(self) -> DataFrame:
-        """Audit after both runs: run 2 appends only ids run 1 did not store."""
-        first = self.run1.audit_rows
-        second = self.run2.audit_rows.join(first.select("audit_id"), "audit_id", "left_anti")
-        return first.unionByName(second)
+    def listing(self, *columns: str) -> TwoRuns:
+        """Both runs with the given file columns and nothing staged, for queries that read few of them."""
+        order = [c for c in FOLD_COLUMNS[:4] if c not in columns]
+        return TwoRuns(self, [*order, *columns], stage=False)
 
     # --- replay of the dispatch step -------------------------------------------------------
     @cached_property
-    def replay_ready(self) -> DataFrame:
-        return dispatch.ready_groups(self.run1.evaluated)
-
-    @cached_property
-    def replay_skipped(self) -> DataFrame:
-        return dispatch.already_dispatched(self.replay_ready, self.run1.dispatch_table)
+    def replays(self) -> list[DispatchStep]:
+        """The dispatch steps of both runs run again: their rows were written, their groups not marked."""
+        r1, r2 = self.runs.first, self.runs.second
+        return [DispatchStep(r1.evaluate.evaluated, None, r1.dispatch.dispatch_table, self.now1),
+                DispatchStep(r2.evaluate.evaluated, None, r2.dispatch.dispatch_table, self.now2)]

@@ -16,8 +16,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # The column names, order and types of the tables below are the layouts
-# the engine's consumers read (equal to the reference's tables), except for the extra
-# ``dispatch_files`` table and the ``dt_ref`` partition column of ``audit``.
+# the engine's consumers read (equal to the reference's tables), except for: the extra
+# ``dispatch_files`` table, the ``dt_ref`` partition column of ``audit``, and
+# ``snapshot_parts`` in ``dispatch``, which counts the rows of ``dispatch_files`` in the place of
+# one JSON text of all of them.
 
 RAW_LISTING_SCHEMA = T.StructType(
     [
@@ -85,7 +87,7 @@ DISPATCH_SCHEMA = T.StructType(
         T.StructField("expected_parts", T.IntegerType(), True),
         T.StructField("received_parts", T.IntegerType(), False),
         T.StructField("incomplete_flag", T.BooleanType(), False),
-        T.StructField("files_snapshot_json", T.StringType(), True),
+        T.StructField("snapshot_parts", T.LongType(), False),
         T.StructField("status", T.StringType(), False),
     ]
 )
@@ -94,6 +96,7 @@ DISPATCH_FILES_SCHEMA = T.StructType(
     [
         T.StructField("dispatch_key", T.StringType(), False),
         T.StructField("group_key", T.StringType(), False),
+        T.StructField("file_business_key", T.StringType(), False),
         T.StructField("part_number", T.IntegerType(), True),
         T.StructField("file_name", T.StringType(), True),
         T.StructField("file_path", T.StringType(), True),
@@ -119,23 +122,6 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 
-AUDIT_INPUT_COLUMNS = [
-    "event_type",
-    "group_key",
-    "file_business_key",
-    "payload_json",
-    "severity",
-    "dedupe_key",
-]
-
-PARTITION_COLUMNS = {
-    "file_events": ["dt_ref"],
-    "groups": ["dt_ref"],
-    "dispatch": ["dt_ref"],
-    "dispatch_files": ["dt_ref"],
-    "audit": ["dt_ref"],
-}
-
 TABLE_SCHEMAS = {
     "file_events": FILE_EVENTS_SCHEMA,
     "groups": GROUPS_SCHEMA,
@@ -145,9 +131,9 @@ TABLE_SCHEMAS = {
 }
 
 TABLE_KEYS = {
-    "file_events": "file_business_key",
-    "groups": "group_key",
-    "dispatch": "dispatch_key",
-    "dispatch_files": None,
-    "audit": "audit_id",
+    "file_events": ["file_business_key"],
+    "groups": ["group_key"],
+    "dispatch": ["dispatch_key"],
+    "dispatch_files": ["dispatch_key", "file_business_key"],
+    "audit": ["audit_id"],
 }

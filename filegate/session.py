@@ -1,16 +1,17 @@
-"""Session helpers: a local session for tests and benchmarks, and the checkpoint folder.
+"""Session helpers: a local session for tests and benchmarks, and staged frames.
 
-Jobs cut lineage with ``DataFrame.checkpoint()`` into the folder the cluster names in
+Lineage is cut with Parquet written to the folder the cluster names in
 ``spark.checkpoint.dir`` (reliable storage shared by all executors, so a lost executor
 does not lose the staged data). The folder is read from the session; a default is set
-only where none is configured (tests, local runs).
+only where none is configured and the session is a single local process.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -63,19 +64,22 @@ LOCAL_CHECKPOINT_DEFAULT = "file:/tmp/filegate-checkpoint"
 
 
 def default_checkpoint_dir(spark: SparkSession) -> str | None:
-    """A folder for local-mode sessions that configure none; ``None`` on a cluster."""
+    """A folder for one-process sessions (``local``, ``local[n]``) that configure none.
+
+    ``None`` for every session with executors of its own, ``local-cluster`` among them.
+    """
     master = spark.sparkContext.master or ""
-    return LOCAL_CHECKPOINT_DEFAULT if master.startswith("local") else None
+    return LOCAL_CHECKPOINT_DEFAULT if master == "local" or master.startswith("local[") else None
 
 
-def materialize(df):
-    """Run ``df`` once and cut its lineage: a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame) -> DataFrame:
+    """Run ``df`` once and cut its lineage: a Parquet folder in the shared checkpoint folder.
 
-    Later steps read the written blocks instead of recomputing (or re-planning) the chain
-    that produced them, and a lost executor loses nothing that was checkpointed. (A
-    Parquet table in the same folder would allow column pruning on re-read, but costs a
-    commit per step; the staged frames here are read whole by the next step.)
+    Consumers read back only the columns they use, and a lost executor loses nothing that was
+    written. This is an action: it runs while the plan is built.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark, default=default_checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    base = checkpoint_dir(spark, default=default_checkpoint_dir(spark))
+    path = f"{base.rstrip('/')}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,8 @@ shaped like the ``binaryFile`` listing: ``path, modificationTime, length, conten
   number (repeated ``(order, line)`` pairs are duplicate deliveries);
 * manifests - one per order with ``o_orderkey % 4 <> 0``, payloads cycling through
   valid counts and four broken forms;
-* misc      - 3 % of ``events``: a bad name, an impossible date, a URL-encoded name.
+* misc      - one per ``events`` row: a bad name, an impossible date, a part number beyond int, or
+  (97 of 100) a URL-encoded name of one hot group.
 
 The same rules are written in SQL by ``filegate.plans.oracle.LANDING_SQL``.
 """
@@ -18,25 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_NOW = "1999-06-01 00:20:00"
-
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition by ``key`` a scan that yields fewer partitions than the parallelism.
-
-    The shared test tables are single row-group files, read as one task; large inputs
-    already split into many scan tasks and are left as they are (no extra shuffle).
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, key)
-    return df
-
-
 def _minutes(n) -> F.Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), n.cast("int"))
 
@@ -56,13 +43,13 @@ def _group_prefix() -> F.Column:
 
 def derived_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing listing of the scale factor in ``sf_dir`` (NTZ timestamps)."""
-    orders = _spread(_table(spark, sf_dir, "orders").select(
+    orders = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", _group_prefix().alias("prefix")
-    ), "o_orderkey")
-    lineitem = _spread(_table(spark, sf_dir, "lineitem").select(
+    )
+    lineitem = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
-    ), "l_orderkey")
-    events = _spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props"), "event_id")
+    )
+    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
 
     parts = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner").select(
         F.concat(
@@ -121,9 +108,10 @@ def derived_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = (
         F.when(kind == 0, F.concat(F.lit("event_"), F.col("event_id").cast("string"), F.lit(".json")))
         .when(kind == 1, F.lit("SISTEMA=EV|TABELA=events|DT_REF=2024-13-01|PART=0001.json"))
+        .when(kind == 2, F.lit("SISTEMA=EV|TABELA=events|DT_REF=2024-01-01|PART=99999999999.json"))
         .otherwise(encoded)
     )
-    misc = events.where(kind < 3).select(
+    misc = events.select(
         F.concat(F.lit("file:/landing/misc/"), F.col("event_id").cast("string"), F.lit("/"), name).alias("path"),
         F.col("ts").alias("modificationTime"),
         F.lit(10).cast("long").alias("length"),

@@ -1,25 +1,24 @@
 """Landing-area readers: batch listing, incremental stream, JSONL sample adapter.
 
-``read_landing`` uses Spark's ``binaryFile`` source. With ``split_scan=True`` (default)
-file bytes are read only for manifests: ``binaryFile`` reads ``content`` only when the
-column is selected, so the listing of all files selects ``path, modificationTime,
-length`` and a second scan with ``pathGlobFilter=*MANIFEST.json`` reads the manifest
-payloads. The two disjoint scans are unioned - no join, no shuffle. A manifest whose
-raw name hides the suffix behind escapes (``MANIFEST%2Ejson``) is parsed as a manifest
-but gets no payload in the split scan; ``split_scan=False`` reads every file's bytes.
+Both readers use Spark's ``binaryFile`` source, twice: ``content`` is read only where the column is
+selected, so one scan lists the files without their bytes, and one reads the bytes of
+names that may be manifests (``MANIFEST_GLOB``: the plain suffix, or any escape, which may hide
+it). The two scans are disjoint and unioned - no join, no shuffle. ``all_content=True`` reads
+every file's bytes in one scan; a content checksum needs that.
 Note that ``binaryFile`` skips names that start with ``_`` or ``.``.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filegate.schemas import RAW_LISTING_SCHEMA
 
-MANIFEST_GLOB = "*MANIFEST.json"
+MANIFEST_GLOB = "{*MANIFEST.json,*%*}"
 
 SAMPLE_SCHEMA = T.StructType(
     [
@@ -33,14 +32,28 @@ def empty_listing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RAW_LISTING_SCHEMA)
 
 
-def _reader(spark: SparkSession, modified_after: str | None = None):
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader
+def _may_be_manifest() -> Column:
+    """The rows that ``MANIFEST_GLOB`` selects."""
+    name = F.substring_index("path", "/", -1)
+    return name.endswith("MANIFEST.json") | name.contains("%")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def read_landing(spark: SparkSession, path: str, split_scan: bool = True,
+def _scans(reader: Callable, path: str, all_content: bool) -> DataFrame:
+    """The listing of ``path`` from fresh readers (batch or stream) of the ``binaryFile`` source."""
+    columns = RAW_LISTING_SCHEMA.fieldNames()
+    if all_content:
+        return reader().load(path).select(*columns)
+    listing = reader().load(path).select("path", "modificationTime", "length").where(~_may_be_manifest())
+    manifests = reader().option("pathGlobFilter", MANIFEST_GLOB).load(path).select(*columns)
+    return listing.withColumn("content", F.lit(None).cast("binary")).unionByName(manifests)
+
+
+def read_landing(spark: SparkSession, path: str, all_content: bool = False,
                  modified_after: str | None = None) -> DataFrame:
     """All files under ``path`` (recursive) as ``path, modificationTime, length, content``.
 
@@ -48,39 +61,26 @@ def read_landing(spark: SparkSession, path: str, split_scan: bool = True,
     (``yyyy-MM-ddTHH:mm:ss``) keeps only newer files, the batch form of "do not include
     existing files".
     """
-    try:
-        if not split_scan:
-            return _reader(spark, modified_after).load(path).select(*RAW_LISTING_SCHEMA.fieldNames())
-        listing = (
-            _reader(spark, modified_after)
-            .load(path)
-            .select("path", "modificationTime", "length")
-            .where(~F.col("path").endswith("MANIFEST.json"))
-            .withColumn("content", F.lit(None).cast("binary"))
-        )
-        manifests = (
-            _reader(spark, modified_after)
-            .option("pathGlobFilter", MANIFEST_GLOB)
-            .load(path)
-            .select("path", "modificationTime", "length", "content")
-        )
-        return listing.unionByName(manifests)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return empty_listing(spark)
-        raise
-
-
-def read_landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental listing: each file is delivered once per checkpoint."""
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(RAW_LISTING_SCHEMA)
-        .option("recursiveFileLookup", "true")
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    if not path_exists(spark, path):
+        return empty_listing(spark)
+
+    def reader():
+        r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        return r.option("modifiedAfter", modified_after) if modified_after else r
+
+    return _scans(reader, path, all_content)
+
+
+def read_landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                        all_content: bool = False) -> DataFrame:
+    """Incremental listing: each file is delivered once per checkpoint (two sources of one query)."""
+
+    def reader():
+        r = (spark.readStream.format("binaryFile").schema(RAW_LISTING_SCHEMA)
+             .option("recursiveFileLookup", "true"))
+        return r.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger else r
+
+    return _scans(reader, path, all_content)
 
 
 def read_jsonl_samples(spark: SparkSession, path: str, modification_time: str | None = None) -> DataFrame:

@@ -1,163 +1,100 @@
-"""Control-table store on plain Parquet: keyed appends and versioned state snapshots.
+"""Control tables on plain Parquet, partitioned by ``dt_ref``: keyed appends and one rewritten state.
 
 * ``file_events``, ``dispatch``, ``dispatch_files``, ``audit`` are insert-only. A keyed
-  append computes ``batch left_anti stored`` (reading only the ``dt_ref`` partitions the
-  batch touches), cuts the lineage with a checkpoint, and appends. Replaying a batch
-  adds nothing; a partly written append is completed by the next run.
-* ``groups`` is the one mutable table. Each run writes a complete new snapshot to
-  ``groups/v=<n>``; readers take the highest version with a ``_SUCCESS`` marker, so a
-  crashed write is never seen. Old versions are removed by ``vacuum_groups``.
+  append is ``batch left_anti stored`` over the stored dates near the batch, appended. Replaying
+  a batch adds nothing; a partly written append is completed by the next run, row by row.
+* ``groups`` is the one mutable table: a run overwrites the partitions of the dates whose
+  groups changed (dynamic partition overwrite) and leaves the others alone. The state is a
+  function of the other tables, so a partition lost to a crash inside the overwrite is
+  rebuilt by the next evaluate and dispatch (status, counts, times of arrival and dispatch; its creation
+  time is then the rebuild's).
 
 Single writer per table, as the jobs run one at a time.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from filegate.schemas import PARTITION_COLUMNS, TABLE_KEYS, TABLE_SCHEMAS
+from filegate.schemas import TABLE_KEYS, TABLE_SCHEMAS
 from filegate.session import materialize
 
-APPEND_TABLES = ("file_events", "dispatch", "dispatch_files", "audit")
-VERSION_PREFIX = "v="
-WATERMARK_FILE = "_refreshed_through"
-MAX_PRUNED_PARTITIONS = 5000
-_EPOCH = _dt.datetime(1970, 1, 1)
+PARTITION = "dt_ref"
+FOLDED_SCHEMA = T.StructType([T.StructField("data_file", T.StringType(), False),
+                              T.StructField("timeout_minutes", T.IntegerType(), False)])
 
 
 class ControlTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    # --- file system helpers (driver-side metadata only) ------------------------------
-    def _fs(self, path: str):
-        p = self._Path(path)
-        return p.getFileSystem(self._conf), p
-
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return bool(fs.exists(p))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # --- bootstrap ------------------------------------------------------------------------
+    def _exists(self, path: str) -> bool:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
     def ensure(self) -> None:
         """Create every missing table as an empty, typed, partitioned Parquet table."""
-        for name in APPEND_TABLES:
+        for name, schema in TABLE_SCHEMAS.items():
             if not self._exists(self.path(name)):
-                empty = self.spark.createDataFrame([], TABLE_SCHEMAS[name])
-                empty.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS[name]).parquet(self.path(name))
-        if not self._exists(self.path("groups")):
-            fs, p = self._fs(self.path("groups"))
-            fs.mkdirs(p)
+                self.spark.createDataFrame([], schema).write.partitionBy(PARTITION).parquet(self.path(name))
 
     # --- reads ------------------------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        if name == "groups":
-            return self.read_groups()
+    def read(self, name: str, with_file: bool = False) -> DataFrame:
+        """The table in schema order; ``with_file`` adds the data file of each row."""
         schema = TABLE_SCHEMAS[name]
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
+        extra = [F.col("_metadata.file_path").alias("data_file")] if with_file else []
+        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames(), *extra)
 
-    def pruned(self, name: str, dates: DataFrame | None) -> DataFrame:
-        """The table restricted to the ``dt_ref`` partitions present in ``dates``.
+    def near(self, name: str, batch: DataFrame) -> DataFrame:
+        """The table's partitions from the first to the last date of ``batch``, and the null one if it has nulls.
 
-        ``dates`` is a one-column frame of ``dt_ref`` values (nulls allowed). Its distinct
-        values - a small set bounded by the calendar - become a partition filter, so the
-        scan lists and reads only those folders. Above ``MAX_PRUNED_PARTITIONS`` values the
-        whole table is read.
+        One row of three values reaches the driver; it becomes a partition filter.
         """
-        table = self.read(name)
-        if dates is None:
-            return table
-        values = [r[0] for r in dates.select("dt_ref").distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-        if len(values) > MAX_PRUNED_PARTITIONS:
-            return table
-        known = [v for v in values if v is not None]
-        rule = F.col("dt_ref").isin(known) if known else F.lit(False)
-        if any(v is None for v in values):
-            rule = rule | F.col("dt_ref").isNull()
-        return table.where(rule)
+        low, high, nulls = batch.agg(
+            F.min(PARTITION), F.max(PARTITION), F.count_if(F.col(PARTITION).isNull()) > 0).first()
+        rule = F.col(PARTITION).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)
+        return self.read(name).where(rule | F.col(PARTITION).isNull() if nulls else rule)
 
     # --- writes -----------------------------------------------------------------------------
     def append(self, name: str, df: DataFrame) -> None:
-        schema = TABLE_SCHEMAS[name]
-        df.select(*schema.fieldNames()).write.mode("append").partitionBy(*PARTITION_COLUMNS[name]).parquet(
-            self.path(name)
-        )
-
-    def insert_if_absent(self, name: str, df: DataFrame, key: str | None = None) -> DataFrame:
-        """Append the rows of ``df`` whose key is not stored; returns them (materialized)."""
-        key = key or TABLE_KEYS[name]
-        stored = self.pruned(name, df.select("dt_ref")).select(key)
-        new = materialize(df.join(stored, key, "left_anti"))
+        """Append rows, one file per date or so: small dates share a task, a hot one is split (rebalance)."""
+        rows = df.select(*TABLE_SCHEMAS[name].fieldNames()).hint("rebalance", F.col(PARTITION))
+        rows.write.mode("append").partitionBy(PARTITION).parquet(self.path(name))
+
+    def insert_if_absent(self, name: str, df: DataFrame) -> DataFrame:
+        """Append the rows of the staged ``df`` whose key is not stored; returns them (staged)."""
+        key = TABLE_KEYS[name]
+        new = materialize(df.join(self.near(name, df).select(*key), key, "left_anti"))
         self.append(name, new)
         return new
 
-    # --- groups snapshots --------------------------------------------------------------------
-    def _versions(self) -> list[tuple[int, str]]:
-        fs, p = self._fs(self.path("groups"))
-        if not fs.exists(p):
-            return []
-        out = []
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if status.isDirectory() and name.startswith(VERSION_PREFIX):
-                full = f"{self.path('groups')}/{name}"
-                if self._exists(f"{full}/_SUCCESS"):
-                    out.append((int(name[len(VERSION_PREFIX):]), full))
-        return sorted(out)
-
-    def read_groups(self) -> DataFrame:
-        schema = TABLE_SCHEMAS["groups"]
-        versions = self._versions()
-        if not versions:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(versions[-1][1]).select(*schema.fieldNames())
-
-    def groups_watermark(self) -> _dt.datetime | None:
-        """Largest ``ingested_at`` folded into the latest snapshot (None: never refreshed).
-
-        Kept as the name of an empty marker file ``_refreshed_through=<epoch micros>`` in
-        the snapshot folder (read from the listing, no data read).
-        """
-        versions = self._versions()
-        if not versions:
+    def write_groups(self, state: DataFrame, dates: DataFrame) -> None:
+        """Overwrite the partitions of ``dates`` with their rows of ``state`` (nothing, where there are none)."""
+        dates = materialize(dates)
+        rows = materialize(state.join(dates, PARTITION, "left_semi").select(*TABLE_SCHEMAS["groups"].fieldNames()))
+        if rows.limit(1).count():
+            (rows.hint("rebalance", F.col(PARTITION)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(self.path("groups")))
+
+    # --- which data files the state covers --------------------------------------------------
+    def data_files(self, name: str) -> DataFrame:
+        """The data files of a table, one row each."""
+        return self.read(name, with_file=True).select("data_file").distinct()
+
+    def folded_files(self, timeout_minutes: int) -> DataFrame | None:
+        """Data files folded under this timeout; ``None`` where the state is not known to cover any."""
+        if not self._exists(f"{self.path('groups_folded')}/_SUCCESS"):
             return None
-        fs, p = self._fs(versions[-1][1])
-        for status in fs.listStatus(p):
-            name = status.getPath().getName()
-            if name.startswith(WATERMARK_FILE + "="):
-                micros = int(name.split("=", 1)[1])
-                return _EPOCH + _dt.timedelta(microseconds=micros)
-        return None
-
-    def write_groups(self, state: DataFrame, watermark: _dt.datetime | None) -> str:
-        """Write a complete new snapshot; it becomes visible when ``_SUCCESS`` appears."""
-        versions = self._versions()
-        number = (versions[-1][0] + 1) if versions else 1
-        target = f"{self.path('groups')}/{VERSION_PREFIX}{number:08d}"
-        schema = TABLE_SCHEMAS["groups"]
-        state.select(*schema.fieldNames()).write.mode("overwrite").partitionBy("dt_ref").parquet(target)
-        if watermark is not None:
-            micros = (watermark - _EPOCH) // _dt.timedelta(microseconds=1)
-            fs, p = self._fs(f"{target}/{WATERMARK_FILE}={micros}")
-            fs.create(p, True).close()
-        return target
-
-    def vacuum_groups(self, keep: int = 2) -> int:
-        """Delete all but the newest ``keep`` committed snapshots; returns how many."""
-        versions = self._versions()
-        removed = 0
-        for _, path in versions[:-keep] if keep > 0 else versions:
-            fs, p = self._fs(path)
-            fs.delete(p, True)
-            removed += 1
-        return removed
+        folded = self.spark.read.schema(FOLDED_SCHEMA).parquet(self.path("groups_folded"))
+        return materialize(folded.where(F.col("timeout_minutes") == timeout_minutes).select("data_file"))
+
+    def mark_folded(self, files: DataFrame, timeout_minutes: int) -> None:
+        """Record the data files that the written state covers (after the state: a crash between means a full fold)."""
+        rows = files.select("data_file", F.lit(timeout_minutes).alias("timeout_minutes"))
+        rows.coalesce(1).write.mode("overwrite").parquet(self.path("groups_folded"))

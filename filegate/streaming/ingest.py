@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filegate.functions.rules import timestamp_literal
-
 from filegate.plans.jobs import FilegateConfig, ingest_batch
-from filegate.sources.landing import read_landing, read_landing_stream
+from filegate.sources.landing import path_exists, read_landing_stream
 from filegate.sources.tables import ControlTables
 
 COUNTERS = ("raw_events", "unique_candidates", "inserted", "duplicates", "parse_errors",
@@ -36,6 +35,8 @@ def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
     totals = {k: 0 for k in COUNTERS}
     totals["batches"] = 0
 
+    if not path_exists(spark, config.landing):
+        return totals
     start = timestamp_literal(modified_after) if modified_after is not None else None
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -46,7 +47,8 @@ def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
             totals[key] = totals.get(key, 0) + value
         totals["batches"] += 1
 
-    stream = read_landing_stream(spark, config.landing, max_files_per_trigger=max_files_per_trigger)
+    stream = read_landing_stream(spark, config.landing, max_files_per_trigger=max_files_per_trigger,
+                                 all_content=config.checksum is not None)
     query = (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", config.ingest_checkpoint)
@@ -55,8 +57,3 @@ def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
     )
     query.awaitTermination()
     return totals
-
-
-def landing_listing(spark: SparkSession, config: FilegateConfig) -> DataFrame:
-    """The batch twin of the stream's input (for comparisons)."""
-    return read_landing(spark, config.landing, split_scan=config.split_scan)

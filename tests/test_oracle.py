@@ -13,11 +13,13 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from filegate.plans import catalog, oracle  # noqa: E402
 from check_oracle import TABLES, arrow_of, normalise  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 FAMILY = ["parse_landing", "manifest_quality", "file_events", "dedupe_files", "group_aggregate", "manifest_stats",
-          "vw_group_status", "changed_groups", "mark_dispatched", "dispatch_payload", "audit_append"]
+          "vw_group_status", "changed_groups", "mark_dispatched", "dispatch_payload", "snapshot_chunks", "audit_append",
+          "audit_group_events", "file_events_strict"]
 
 
 @pytest.fixture(scope="module")
@@ -31,9 +33,9 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    names = set(entry.queries())
-    assert set(entry.oracle_sql()) | entry.NO_ORACLE == names
+def test_every_query_of_the_engine_has_an_oracle():
+    names = set(catalog.registry())
+    assert names == set(oracle.statements()) and names <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
@@ -51,6 +53,6 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_oracle_statement_runs(duck):
-    for name, sql in entry.oracle_sql().items():
+    for name, sql in oracle.statements().items():
         rows = arrow_of(duck.execute(sql))
         assert rows.num_columns > 0, name

@@ -1,6 +1,7 @@
 """Grouping, manifest resolution, readiness, incomplete flag and dispatch gate."""
 
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -107,11 +108,19 @@ def test_dispatch_limit_is_oldest_first(spark):
     assert sorted(picked) == ["g3", "g4"]
 
 
-def test_snapshot_json_only_within_bound(spark):
-    rows = spark.createDataFrame([("d", "g", i, f"f{i}", f"/p/f{i}", T10, None, dt.date(2026, 4, 14)) for i in range(5)],
+def test_snapshot_chunks_hold_every_part_in_order(spark):
+    parts = [None, 0, 1, 999, 1000, 2500]
+    rows = spark.createDataFrame([("d", "g", i, f"f{i}", f"/p/f{i}", T10, None) for i in reversed(parts)],
                                  "dispatch_key string, group_key string, part_number int, file_name string, "
-                                 "file_path string, arrived_at timestamp, file_checksum string, dt_ref date")
-    small = dispatch.snapshot_summary(rows, json_max_parts=10).first()
-    assert small.snapshot_parts == 5 and small.files_snapshot_json.count("part_number") == 5
-    big = dispatch.snapshot_summary(rows, json_max_parts=3).first()
-    assert big.snapshot_parts == 5 and big.files_snapshot_json is None
+                                 "file_path string, arrived_at timestamp, file_checksum string")
+    got = {r.chunk: [p.get("part_number") for p in json.loads(r.files_json)]
+           for r in dispatch.snapshot_chunks(rows).collect()}
+    assert got == {-1: [None], 0: [0, 1, 999], 1: [1000], 2: [2500]}
+
+
+def test_aware_times_are_utc_instants(spark):
+    zone = dt.timezone(dt.timedelta(hours=-3))
+    value = dt.datetime(2026, 4, 14, 10, 0, tzinfo=zone)
+    row = spark.range(1).select(timestamp_literal(value, ntz=True).alias("n"),
+                                timestamp_literal(value).cast("long").alias("t")).first()
+    assert row.n == dt.datetime(2026, 4, 14, 13, 0) and row.t == int(value.timestamp())
