@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +29,14 @@ from filegate.llm.text import BLANKS, Words, mix, shingle_hashes, word_slices
 
 ROOT, DEPTH = 4, 6
 GROUP = 64
-#: Pairs a group gives for each member before the rest is left to the second round.
-FIRST_PAIRS = 8
 #: A pair at the threshold shares a root prefix in no tree with at most this probability.
 MISS = 1e-6
 #: Standard errors of the signature estimate that a candidate may lie below the threshold.
 DEVIATIONS = 5
-#: Class ids that are broadcast to pick texts, at most (8 bytes each).
-BROADCAST_IDS = 2_000_000
+#: Pairs a group gives for each member before the rest is left to the second round.
+FIRST_PAIRS = 8
+#: Ids that are broadcast to pick or drop documents, at most (16 bytes each).
+BROADCAST_IDS = 1_000_000
 
 
 def tree_count(percent: int) -> int:
@@ -77,15 +77,18 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray, count: int) -> np.ndarr
     return out
 
 
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(by_name(text_col).cast("string"), F.lit("")))
+
+
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for start in range(0, len(column), 4000):  # a row's number takes 12 bits of a sort key
         for low, high, words in word_slices(column.slice(start, 4000), BLANKS):
             yield start + low, start + high, *shingle_sets(words, width)
 
 
-def signature_rows(docs: DataFrame, id_col: str, text_col: str, uid_col: str | None, width: int,
-                   count: int) -> DataFrame:
-    """(id, uid, n, k1, k2, sig) of every row."""
+def signature_rows(docs: DataFrame, id_col: str, text_col: str, width: int, count: int) -> DataFrame:
+    """(id, h, n, k1, k2, sig) of every row; ``h`` is a hash of the text, which tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,9 +99,9 @@ def signature_rows(docs: DataFrame, id_col: str, text_col: str, uid_col: str | N
                     [*batch.slice(low, high - low).columns[:2], pa.array(np.diff(bounds)), pa.array(k1), pa.array(k2),
                      pa.array([s.tobytes() for s in sig], pa.binary())], names=names)
 
-    names = ["id", "uid", "n", "k1", "k2", "sig"]
-    uid = by_name(uid_col) if uid_col else F.monotonically_increasing_id()
-    narrow = docs.select(by_name(id_col).alias("id"), uid.alias("uid"), by_name(text_col).cast("string").alias("text"))
+    names = ["id", "h", "n", "k1", "k2", "sig"]
+    narrow = docs.select(by_name(id_col).alias("id"), _text_hash(text_col).alias("h"),
+                         by_name(text_col).cast("string").alias("text"))
     kinds = [narrow.schema["id"].dataType, *[T.LongType()] * 4, T.BinaryType()]
     return narrow.mapInArrow(run, T.StructType(list(map(T.StructField, names, kinds))))
 
@@ -180,8 +183,8 @@ def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bo
     ``grouped`` has (g, cid, label, n, sig), sorted by g within partitions.
     """
     p = percent / 100
-    least = math.floor(count * (p - DEVIATIONS * math.sqrt(p * (1 - p) / count)))
     most = FIRST_PAIRS
+    least = math.floor(count * (p - DEVIATIONS * math.sqrt(p * (1 - p) / count)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = [], []
@@ -197,9 +200,9 @@ def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bo
             a, b, near = a[ok], b[ok], near[ok]
             if not everything and len(a) > most * len(cid):
                 kept = _forest(len(cid), np.stack((a, b)), near)
-                a, b = a[kept], b[kept]
                 first.append(np.array([g]))
                 second.append(np.array([-1]))
+                a, b = a[kept], b[kept]
             first.append(np.minimum(cid[a], cid[b]))
             second.append(np.maximum(cid[a], cid[b]))
             if sum(map(len, first)) > 50_000:
@@ -284,43 +287,48 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
     """(cid, label) of all classes with a confirmed link."""
     count = trees * DEPTH
     groups = forest_groups(classes, trees)
-    facts = classes.select("cid", "n", "sig")
-    width_of = shuffle_width(docs.sparkSession)
-    grouped = stage(groups.join(facts, "cid").withColumn("label", F.col("cid")), "neardup-grouped")
-    sorted_groups = lambda df: df.repartition(width_of, "g").sortWithinPartitions("g")
-    first = stage(candidate_pairs(sorted_groups(grouped), percent, count, False), "neardup-first")
+    groups = stage(groups, "neardup-groups")
+    sets_of = lambda pairs: stage(class_sets(
+        docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), id_col, text_col, width),
+        "neardup-sets")
+
+    def candidates(members: DataFrame, everything: bool) -> DataFrame:
+        rows = members.join(classes.select("cid", "n", "sig"), "cid")
+        dealt = rows.repartition(shuffle_width(docs.sparkSession), "g").sortWithinPartitions("g")
+        return candidate_pairs(dealt, percent, count, everything)
+
+    first = stage(candidates(groups.withColumn("label", F.col("cid")), False), "neardup-first")
     pairs = stage(first.filter("b is not null").distinct(), "neardup-pairs")
-    ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = stage(class_sets(docs, classes, ends(pairs), id_col, text_col, width), "neardup-sets")
-    edges = stage(confirm(pairs, sets, percent), "neardup-confirmed")
+    edges = stage(confirm(pairs, sets_of(pairs), percent), "neardup-confirmed")
     labels = components(edges)
     later = first.filter("b is null").select(F.col("a").alias("g")).distinct()
-    if later.limit(1).count():
-        rest = grouped.join(later, "g", "left_semi").drop("label").join(
-            labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-        again = candidate_pairs(sorted_groups(rest), percent, count, True).distinct()
-        fresh_pairs = stage(again.join(pairs, ["a", "b"], "left_anti"), "neardup-second")
-        if fresh_pairs.limit(1).count():
-            more = stage(class_sets(docs, classes, ends(fresh_pairs), id_col, text_col, width), "neardup-sets")
-            edges = edges.unionByName(confirm(fresh_pairs, more, percent))
-            labels = components(edges)
+    left = groups.join(later, "g", "left_semi").join(labels, "cid", "left").withColumn(
+        "label", F.coalesce("label", "cid"))
+    apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    apart = stage(apart.filter("low <> high").select("g"), "neardup-apart")
+    if apart.limit(1).count():
+        again = candidates(left.join(apart, "g", "left_semi"), True).distinct()
+        more = stage(again.join(pairs, ["a", "b"], "left_anti"), "neardup-second")
+        if more.limit(1).count():
+            labels = components(edges.unionByName(confirm(more, sets_of(more), percent)))
     return labels
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 80, uid_col: str | None = None) -> DataFrame:
-    """(id, uid, n_shingles, component_id, keeper) of every row.
+                    percent: int = 80) -> DataFrame:
+    """(id, h, n_shingles, component_id, keeper) of every row.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of ``width``-word
     shingles (a shorter text: its whole word sequence). ``component_id`` is the smallest id
-    reachable, ``keeper`` whether the row is the one that stays of its component: that id's first row.
-    Null and empty texts have no shingles, are linked with nothing and kept; a null id
-    counts as larger than any; repeated rows are linked with each other; an empty table gives no
-    rows; extra columns are not read.
+    reachable; ``keeper`` marks the row that stays of a component: of the smallest id, then text
+    hash ``h`` (all of it, where the row is repeated). Null and empty texts have no shingles, are linked
+    with nothing and kept; a null id counts as larger than any; repeated rows are linked with
+    each other; an empty table gives no rows; extra columns are not read.
     """
     trees = tree_count(percent)
-    rows = stage(signature_rows(docs, id_col, text_col, uid_col, width, trees * DEPTH), "neardup-rows")
-    first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"))
+    rows = stage(signature_rows(docs, id_col, text_col, width, trees * DEPTH).withColumn(
+        "uid", F.monotonically_increasing_id()), "neardup-rows")
+    first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))
     classes = stage(rows.filter("n > 0").groupBy("k1", "k2", "n").agg(
         F.min("uid").alias("cid"), F.min(first).alias("first"), F.first("sig").alias("sig")), "neardup-classes")
     labels = _linked(docs, classes, trees, percent, id_col, text_col, width)
@@ -329,11 +337,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = stage(labels.join(heads, "label").select("cid", "head"), "neardup-linked")
     known = stage(classes.select("k1", "k2", "cid", "first").join(linked, "cid", "left").select(
         "k1", "k2", F.coalesce("head", "first").alias("head")), "neardup-known")
-    out = rows.select("id", "uid", "n", "k1", "k2").join(known, ["k1", "k2"], "left")
+    out = rows.select("id", "h", "n", "k1", "k2").join(known, ["k1", "k2"], "left")
     alone = F.col("n") == 0
-    return out.select(F.col("id").alias(id_col), "uid", F.col("n").alias("n_shingles"),
+    head = F.col("id").eqNullSafe(F.col("head.id")) & (F.col("h") == F.col("head.h"))
+    return out.select(F.col("id").alias(id_col), "h", F.col("n").alias("n_shingles"),
                       F.when(alone, F.col("id")).otherwise(F.col("head.id")).alias("component_id"),
-                      (alone | (F.col("uid") == F.col("head.uid"))).alias("keeper"))
+                      (alone | head).alias("keeper"))
 
 
 def component_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -346,9 +355,22 @@ def component_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                          percent: int = 80) -> DataFrame:
-    """One row of each component of near duplicates, with the columns of ``docs`` unchanged."""
-    uid = fresh(docs, "_uid")
-    numbered = stage(docs.withColumn(uid, F.monotonically_increasing_id()), "neardup-docs")
-    found = near_duplicates(numbered, id_col, text_col, width, percent, uid_col=uid)
-    gone = found.filter(~F.col("keeper")).select(F.col("uid").alias(uid))
-    return numbered.join(gone, uid, "left_anti").select(*map(by_name, docs.columns))
+    """One row of each component of near duplicates, with the columns of ``docs`` unchanged.
+
+    The texts are read again and not copied: rows are told apart by id and text hash. Rows that
+    repeat both are reduced to one in a branch of their own (rows without words stay).
+    """
+    key, text_hash = fresh(docs, "_neardup_id"), fresh(docs, "_neardup_h")
+    found = stage(near_duplicates(docs, id_col, text_col, width, percent).select(
+        by_name(id_col).alias(key), F.col("h").alias(text_hash), "n_shingles", "keeper"), "neardup-found")
+    gone = found.filter("not keeper").select(key, text_hash)
+    again = stage(found.filter("keeper and n_shingles > 0").groupBy(key, text_hash).agg(
+        F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "neardup-repeated")
+    same = by_name(id_col).eqNullSafe(F.col(key)) & (_text_hash(text_col) == F.col(text_hash))
+    few = lambda keys: F.broadcast(keys) if keys.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else keys
+    kept = docs.join(few(gone), same, "left_anti")
+    if not again.limit(1).count():
+        return kept
+    once = kept.join(few(again), same, "left_semi").withColumn(text_hash, _text_hash(text_col))
+    return kept.join(few(again), same, "left_anti").unionByName(
+        once.dropDuplicates([id_col, text_hash]).select(*map(by_name, docs.columns)))
