@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
