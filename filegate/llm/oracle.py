@@ -57,7 +57,7 @@ OP3 = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[ 	-]+'), x -> x <> '') AS w
+           '[ 	-]+'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
