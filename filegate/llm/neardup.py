@@ -9,8 +9,9 @@ has about ``GROUP`` members at most, whatever the size of a region.
 
 In a group, pairs whose signatures and sizes allow the similarity are candidates. Small groups
 give all of them; groups of many give a spanning forest of the likeliest first, and in a second
-round every candidate pair whose ends are not in one component yet. Each candidate is confirmed
-on the full shingle sets. Components spread as smallest labels with pointer jumping.
+round the groups that are not in one component yet meet again with their members' whole sets, and
+every candidate pair between two components is tested in place, so pairs that fail are never
+rows. Each link is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
 """
 
 from __future__ import annotations
@@ -177,28 +178,38 @@ def _forest(n: int, pairs: np.ndarray, near: np.ndarray) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
-def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bool) -> DataFrame:
+def least_matches(percent: int, count: int) -> int:
+    """Equal signature values that a pair at the threshold has, but for chance."""
+    p = percent / 100
+    return math.floor(count * (p - DEVIATIONS * math.sqrt(p * (1 - p) / count)))
+
+
+def _near_pairs(size: np.ndarray, sig: np.ndarray, label: np.ndarray, percent: int, least: int
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, second, equal values) of the pairs of a group that sizes and signatures allow, between two labels."""
+    a, b = np.triu_indices(len(size), 1)
+    ok = (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])) & (label[a] != label[b])
+    a, b = a[ok], b[ok]
+    near = np.concatenate([(sig[a[i:i + 4096]] == sig[b[i:i + 4096]]).sum(axis=1)
+                           for i in range(0, len(a), 4096)] or [np.zeros(0, np.int64)])
+    ok = near >= least
+    return a[ok], b[ok], near[ok]
+
+
+def candidate_pairs(grouped: DataFrame, percent: int, count: int) -> DataFrame:
     """(a, b) with a < b, and (g, null) for each group that left pairs to the second round.
 
-    ``grouped`` has (g, cid, label, n, sig), sorted by g within partitions.
+    ``grouped`` has (g, cid, n, sig), sorted by g within partitions.
     """
-    p = percent / 100
-    most = FIRST_PAIRS
-    least = math.floor(count * (p - DEVIATIONS * math.sqrt(p * (1 - p) / count)))
+    least, most = least_matches(percent, count), FIRST_PAIRS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = [], []
         for g, rows in _members(batches):
-            cid, label = rows.column(1).to_numpy(), rows.column(2).to_numpy()
-            size, sig = rows.column(3).to_numpy(), _matrix(rows.column(4).combine_chunks())
-            a, b = np.triu_indices(len(cid), 1)
-            ok = (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])) & (label[a] != label[b])
-            a, b = a[ok], b[ok]
-            near = np.concatenate([(sig[a[i:i + 4096]] == sig[b[i:i + 4096]]).sum(axis=1)
-                                   for i in range(0, len(a), 4096)] or [np.zeros(0, np.int64)])
-            ok = near >= least
-            a, b, near = a[ok], b[ok], near[ok]
-            if not everything and len(a) > most * len(cid):
+            cid = rows.column(1).to_numpy()
+            a, b, near = _near_pairs(rows.column(2).to_numpy(), _matrix(rows.column(3).combine_chunks()), cid,
+                                     percent, least)
+            if len(a) > most * len(cid):
                 kept = _forest(len(cid), np.stack((a, b)), near)
                 first.append(np.array([g]))
                 second.append(np.array([-1]))
@@ -211,7 +222,50 @@ def candidate_pairs(grouped: DataFrame, percent: int, count: int, everything: bo
         if first:
             yield _pair_batch(first, second)
 
-    return grouped.select("g", "cid", "label", "n", "sig").mapInArrow(run, "a long, b long")
+    return grouped.select("g", "cid", "n", "sig").mapInArrow(run, "a long, b long")
+
+
+def links_within(grouped: DataFrame, percent: int, count: int) -> DataFrame:
+    """(a, b): links between members of a group that carry different labels, until each pair of
+    components is linked or every candidate pair between them is refuted.
+
+    ``grouped`` has (g, cid, label, n, sig, shingles), sorted by g within partitions.
+    """
+    least = least_matches(percent, count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _members(batches):
+            cid, label = rows.column(1).to_numpy(), rows.column(2).to_numpy()
+            a, b, near = _near_pairs(rows.column(3).to_numpy(), _matrix(rows.column(4).combine_chunks()), label,
+                                     percent, least)
+            if not len(a):
+                continue
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in rows.column(5)]
+            parent = {x: x for x in label.tolist()}
+
+            def find(x: int, parent=parent) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            found = []
+            for i in np.argsort(-near, kind="stable"):
+                x, y = int(a[i]), int(b[i])
+                p, q = find(int(label[x])), find(int(label[y]))
+                if p != q and similar(sets[x], sets[y], percent):
+                    parent[p] = q
+                    found.append((min(cid[x], cid[y]), max(cid[x], cid[y])))
+            if found:
+                yield _pair_batch(*[[np.array(c)] for c in zip(*found, strict=True)])
+
+    return grouped.select("g", "cid", "label", "n", "sig", "shingles").mapInArrow(run, "a long, b long")
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, for sorted distinct shingles."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _pair_batch(first: list[np.ndarray], second: list[np.ndarray]) -> pa.RecordBatch:
@@ -252,9 +306,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(similar(*(np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y)), percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -288,29 +340,28 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
     count = trees * DEPTH
     groups = forest_groups(classes, trees)
     groups = stage(groups, "neardup-groups")
-    sets_of = lambda pairs: stage(class_sets(
-        docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), id_col, text_col, width),
-        "neardup-sets")
+    sets_of = lambda cids: class_sets(docs, classes, cids.distinct(), id_col, text_col, width)
+    facts = classes.select("cid", "n", "sig")
 
-    def candidates(members: DataFrame, everything: bool) -> DataFrame:
-        rows = members.join(classes.select("cid", "n", "sig"), "cid")
-        dealt = rows.repartition(shuffle_width(docs.sparkSession), "g").sortWithinPartitions("g")
-        return candidate_pairs(dealt, percent, count, everything)
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(shuffle_width(docs.sparkSession), "g").sortWithinPartitions("g")
 
-    first = stage(candidates(groups.withColumn("label", F.col("cid")), False), "neardup-first")
+    first = stage(candidate_pairs(dealt(groups.join(facts, "cid")), percent, count), "neardup-first")
     pairs = stage(first.filter("b is not null").distinct(), "neardup-pairs")
-    edges = stage(confirm(pairs, sets_of(pairs), percent), "neardup-confirmed")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
+    edges = stage(confirm(pairs, stage(sets_of(ends), "neardup-sets"), percent), "neardup-confirmed")
     labels = components(edges)
     later = first.filter("b is null").select(F.col("a").alias("g")).distinct()
     left = groups.join(later, "g", "left_semi").join(labels, "cid", "left").withColumn(
         "label", F.coalesce("label", "cid"))
+    left = stage(left, "neardup-left")
     apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    apart = stage(apart.filter("low <> high").select("g"), "neardup-apart")
-    if apart.limit(1).count():
-        again = candidates(left.join(apart, "g", "left_semi"), True).distinct()
-        more = stage(again.join(pairs, ["a", "b"], "left_anti"), "neardup-second")
+    left = left.join(apart.filter("low <> high").select("g"), "g", "left_semi")
+    if left.limit(1).count():
+        whole = left.join(facts, "cid").join(sets_of(left.select("cid")), "cid")
+        more = stage(links_within(dealt(whole), percent, count).distinct(), "neardup-second")
         if more.limit(1).count():
-            labels = components(edges.unionByName(confirm(more, sets_of(more), percent)))
+            labels = components(edges.unionByName(more))
     return labels
 
 
