@@ -11,7 +11,8 @@ In a group, pairs whose signatures and sizes allow the similarity are candidates
 give all of them; groups of many give a spanning forest of the likeliest first, and in a second
 round the groups that are not in one component yet meet again with their members' whole sets, and
 every candidate pair between two components is tested in place, so pairs that fail are never
-rows. Each link is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
+rows. Last, in each dense region the members outside of its largest component meet every block of
+the region, so no candidate pair of a region is left out by its blocks. Each link is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
 """
 
 from __future__ import annotations
@@ -107,8 +108,9 @@ def signature_rows(docs: DataFrame, id_col: str, text_col: str, width: int, coun
     return narrow.mapInArrow(run, T.StructType(list(map(T.StructField, names, kinds))))
 
 
-def forest_groups(classes: DataFrame, trees: int) -> DataFrame:
-    """(g, cid): groups of at least two classes that stand together in some tree."""
+def forest_groups(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
+    """(g, cid): groups of at least two classes that stand together in some tree; and (root, cid, size) of the
+    dense regions, whose groups are only parts of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +138,25 @@ def forest_groups(classes: DataFrame, trees: int) -> DataFrame:
     within = dense.join(stage(deeper, "neardup-deeper"), "full").select(
         F.xxhash64("full", F.lit("within"), blocks("here", 1)).alias("g"), "cid")
     across = dense.select(F.xxhash64("root", F.lit("across"), blocks("size", 2)).alias("g"), "cid")
-    return sparse.unionByName(within).unionByName(across)
+    return sparse.unionByName(within).unionByName(across), dense.select("root", "cid", "size")
+
+
+def sweep_groups(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """(g, cid, label): each block of a dense region with all members outside of the region's largest component.
+
+    Regions in one component give nothing. Any two members of a region are in one component, or
+    one of them is outside of the largest, and then they meet.
+    """
+    named = stage(dense.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "neardup-dense")
+    shares = named.groupBy("root", "label").agg(F.count("*").alias("n"))
+    largest = shares.groupBy("root").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
+    largest = stage(largest.filter("labels > 1").select("root", F.col("top.label").alias("main")), "neardup-main")
+    members = named.join(largest, "root")
+    blocks = F.ceil(F.col("size") / GROUP).cast("int")
+    own = F.pmod(F.xxhash64("cid", "root", F.lit(3)), blocks).cast("int")
+    every = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), blocks - 1))
+    return members.select("root", "cid", "label", F.explode(every).alias("block")).select(
+        F.xxhash64("root", F.lit("sweep"), "block").alias("g"), "cid", "label")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -338,7 +358,7 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
             width: int) -> DataFrame:
     """(cid, label) of all classes with a confirmed link."""
     count = trees * DEPTH
-    groups = forest_groups(classes, trees)
+    groups, dense = forest_groups(classes, trees)
     groups = stage(groups, "neardup-groups")
     sets_of = lambda cids: class_sets(docs, classes, cids.distinct(), id_col, text_col, width)
     facts = classes.select("cid", "n", "sig")
@@ -357,11 +377,22 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
     left = stage(left, "neardup-left")
     apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = left.join(apart.filter("low <> high").select("g"), "g", "left_semi")
-    if left.limit(1).count():
-        whole = left.join(facts, "cid").join(sets_of(left.select("cid")), "cid")
-        more = stage(links_within(dealt(whole), percent, count).distinct(), "neardup-second")
-        if more.limit(1).count():
-            labels = components(edges.unionByName(more))
+
+    def linked_further(members: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Edges and labels with the links that the groups of ``members`` (g, cid, label) still hold."""
+        if not members.limit(1).count():
+            return edges, labels
+        facts_of = members.select("cid").distinct().join(facts, "cid")
+        whole = members.join(facts_of.join(sets_of(members.select("cid")), "cid"), "cid")
+        more = stage(links_within(dealt(whole), percent, count).distinct(), "neardup-more")
+        if not more.limit(1).count():
+            return edges, labels
+        edges = edges.unionByName(more)
+        return edges, components(edges)
+
+    edges, labels = linked_further(left, edges, labels)
+    if later.limit(1).count():
+        _, labels = linked_further(stage(sweep_groups(dense, labels), "neardup-sweep"), edges, labels)
     return labels
 
 
