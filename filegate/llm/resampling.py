@@ -182,7 +182,7 @@ def _fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
 
 
 def _choose(weights: DataFrame, id_name: str, weight: str, uid: str, sample: DataFrame, k: int | None,
-            temper: float, seed: int) -> tuple[DataFrame, Column]:
+            temper: float, seed: int, key: str | None = None) -> tuple[DataFrame, Column]:
     """The staged weights with their keys, and the condition of selection."""
     if k is None:
         half = sample.filter(fold(F.col("sample_id"), 2) == 1)
@@ -190,7 +190,7 @@ def _choose(weights: DataFrame, id_name: str, weight: str, uid: str, sample: Dat
             F.broadcast(half), F.col("w_id") == F.col("sample_id")).select("w", "label").toArrow()
         cut = best_cut(seen["w"].to_numpy(), seen["label"].to_numpy() == 1) if seen.num_rows else -np.inf
         k = weights.filter(by_name(weight) >= F.lit(float(cut))).count()
-    key = fresh(weights, "key")
+    key = key or fresh(weights, "key")
     keyed = weights.withColumn(key, by_name(weight) * temper + gumbel(by_name(id_name), seed))
     return keyed, top_k(keyed.select(by_name(key).alias("k"), by_name(uid).alias("u")), "k", k, "u")(key, uid)
 
@@ -198,10 +198,16 @@ def _choose(weights: DataFrame, id_name: str, weight: str, uid: str, sample: Dat
 def keep_selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, k: int | None = None,
                   temper: float = TEMPER, seed: int = SEED) -> DataFrame:
-    """The selected rows of ``docs`` with their columns unchanged."""
+    """The selected rows of ``docs`` with their columns unchanged.
+
+    The texts are weighed twice and not copied; rows of one id and text share their fate, also where
+    that makes the selection larger or smaller than ``k`` by their number.
+    """
     ratios, sample = _fit(docs, labels, id_col, text_col, label_col, sample_rows)
     weighed, _, weight = weigh(docs, ratios, text_col)
-    uid = fresh(weighed, "uid")
-    weights = stage(weighed.withColumn(uid, F.monotonically_increasing_id()), "resampling-docs")
-    keyed, chosen = _choose(weights, id_col, weight, uid, sample, k, temper, seed)
+    tie, key = fresh(weighed, "tie"), fresh(weighed, "key")
+    weighed = weighed.withColumn(tie, F.xxhash64(F.coalesce(by_name(text_col).cast("string"), F.lit(""))))
+    narrow = stage(weighed.select(*map(by_name, (id_col, weight, tie))), "resampling-weights")
+    _, chosen = _choose(narrow, id_col, weight, tie, sample, k, temper, seed, key)
+    keyed = weighed.withColumn(key, by_name(weight) * temper + gumbel(by_name(id_col), seed))
     return keyed.filter(chosen).select(*map(by_name, docs.columns))
