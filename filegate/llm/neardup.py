@@ -376,7 +376,7 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
         "label", F.coalesce("label", "cid"))
     left = stage(left, "neardup-left")
     apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    left = left.join(apart.filter("low <> high").select("g"), "g", "left_semi")
+    left = stage(left.join(apart.filter("low <> high").select("g"), "g", "left_semi"), "neardup-apart")
 
     def linked_further(members: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Edges and labels with the links that the groups of ``members`` (g, cid, label) still hold."""
