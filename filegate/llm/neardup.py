@@ -11,8 +11,10 @@ In a group, pairs whose signatures and sizes allow the similarity are candidates
 give all of them; groups of many give a spanning forest of the likeliest first, and in a second
 round the groups that are not in one component yet meet again with their members' whole sets, and
 every candidate pair between two components is tested in place, so pairs that fail are never
-rows. Last, in each dense region the members outside of its largest component meet every block of
-the region, so no candidate pair of a region is left out by its blocks. Each link is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
+rows. Last, the members of the dense regions that are not in one component yet meet by their rarest
+shingles (a prefix filter on the whole sets, which parts texts that share only a template), in groups
+and block pairs of a bounded size, so no candidate pair of a region is left out by its blocks. Each link
+is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filegate.llm.staging import by_name, fresh, shuffle_width, stage
+from filegate.llm.sums import sum_arrays
 from filegate.llm.text import BLANKS, Words, mix, shingle_hashes, word_slices
 
 ROOT, DEPTH = 4, 6
@@ -37,6 +40,8 @@ MISS = 1e-6
 DEVIATIONS = 5
 #: Pairs a group gives for each member before the rest is left to the second round.
 FIRST_PAIRS = 8
+#: Counters of shingles that order those of a dense region by frequency.
+BUCKETS = 1 << 18
 #: Ids that are broadcast to pick or drop documents, at most (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -141,22 +146,100 @@ def forest_groups(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]
     return sparse.unionByName(within).unionByName(across), dense.select("root", "cid", "size")
 
 
-def sweep_groups(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """(g, cid, label): each block of a dense region with all members outside of the region's largest component.
+def region_members(dense: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, label) of all members of the dense regions that are not in one component yet."""
+    named = stage(dense.select("root", "cid").join(labels, "cid", "left").withColumn(
+        "label", F.coalesce("label", "cid")), "neardup-dense")
+    apart = named.groupBy("root").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    apart = stage(apart.filter("low <> high").select("root"), "neardup-regions")
+    return named.join(apart, "root", "left_semi").select("cid", "label").distinct()
 
-    Regions in one component give nothing. Any two members of a region are in one component, or
-    one of them is outside of the largest, and then they meet.
+
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets have a shingle of each bucket (never fewer than have one shingle of it)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS)
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in batch.column(0).slice(low, 500)]
+                total += np.bincount(_buckets(np.concatenate(part)), minlength=BUCKETS)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["value"])
+
+    return sum_arrays(sets.select("shingles").mapInArrow(run, "value binary"), BUCKETS).astype(np.int64)
+
+
+def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, cid, label): the rarest shingles of each set, as many as it may lack in a similar one, and one more.
+
+    All sets are ordered alike, so two similar sets share a key: the first of their common shingles.
+    A shingle that no other set has is no key.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+
+    def batch_of(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+        key, cid, label = zip(*held, strict=True)
+        n = list(map(len, key))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(key).astype(np.int64)), pa.array(np.repeat(cid, n)),
+             pa.array(np.repeat(label, n))], names=["key", "cid", "label"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held, size = shared.value, [], 0
+        for batch in batches:
+            for cid, label, value in zip(*batch.columns, strict=True):
+                shingles = np.frombuffer(value.as_buffer(), dtype=np.uint64)
+                often = counts[_buckets(shingles)]
+                n = len(shingles)
+                first = np.argsort(often, kind="stable")[:n + percent * n // -100 + 1]
+                first = first[often[first] > 1]
+                if len(first):
+                    held.append((shingles[first], cid.as_py(), label.as_py()))
+                    size += len(first)
+                if size > 100_000:
+                    yield batch_of(held)
+                    held, size = [], 0
+        if held:
+            yield batch_of(held)
+
+    return sets.select("cid", "label", "shingles").mapInArrow(run, "key long, cid long, label long")
+
+
+def sweep_groups(sets: DataFrame, percent: int) -> DataFrame:
+    """(g, cid, label): groups of about 2 * GROUP at most in which every two similar sets with different labels meet.
+
+    The sets that share a key are one group while they are few. Of many, those of the largest
+    component and all others are dealt into blocks; each block of others meets every other block, and blocks
+    of the largest component do not meet each other. Keys with the same sets give one group.
     """
-    named = stage(dense.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid")), "neardup-dense")
-    shares = named.groupBy("root", "label").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("root").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
-    largest = stage(largest.filter("labels > 1").select("root", F.col("top.label").alias("main")), "neardup-main")
-    members = named.join(largest, "root")
-    blocks = F.ceil(F.col("size") / GROUP).cast("int")
-    own = F.pmod(F.xxhash64("cid", "root", F.lit(3)), blocks).cast("int")
-    every = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), blocks - 1))
-    return members.select("root", "cid", "label", F.explode(every).alias("block")).select(
-        F.xxhash64("root", F.lit("sweep"), "block").alias("g"), "cid", "label")
+    keys = stage(prefix_keys(sets, percent), "neardup-keys")
+    held = keys.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"),
+        *[F.bit_xor(F.xxhash64("cid", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]).filter("low <> high")
+    once = stage(held.groupBy("size", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size"),
+                 "neardup-once")
+    members = stage(keys.join(once, "key"), "neardup-members")
+    small = members.filter(F.col("size") <= GROUP).select(F.col("key").alias("g"), "cid", "label")
+    many = members.filter(F.col("size") > GROUP)
+    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = stage(shares.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")).select(
+        "key", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / GROUP).cast("int").alias("mains"),
+        F.ceil((F.col("all") - F.col("top.n")) / GROUP).cast("int").alias("others")), "neardup-main")
+    is_main = F.col("label") == F.col("main")
+    own = F.pmod(F.xxhash64("cid", "key", F.lit(3)), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
+    dealt = many.join(main, "key").withColumn("own", own.cast("int"))
+    to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    name = lambda kind, i, j: F.xxhash64("key", F.lit(kind), i, j)
+    with_main = F.when(is_main, F.transform(to("others"), lambda i: name("main", i, F.col("own")))).otherwise(
+        F.transform(to("mains"), lambda j: name("main", F.col("own"), j)))
+    with_others = F.when(is_main, F.array().cast("array<bigint>")).otherwise(F.transform(
+        to("others"), lambda j: name("others", F.least("own", j), F.greatest("own", j))))
+    pairs = dealt.select(F.explode(F.concat(with_main, with_others)).alias("g"), "cid", "label")
+    return small.unionByName(pairs)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -378,21 +461,26 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
     apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = stage(left.join(apart.filter("low <> high").select("g"), "g", "left_semi"), "neardup-apart")
 
-    def linked_further(members: DataFrame, edges: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def linked_further(members: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame
+                       ) -> tuple[DataFrame, DataFrame]:
         """Edges and labels with the links that the groups of ``members`` (g, cid, label) still hold."""
-        if not members.limit(1).count():
-            return edges, labels
         facts_of = members.select("cid").distinct().join(facts, "cid")
-        whole = members.join(facts_of.join(sets_of(members.select("cid")), "cid"), "cid")
+        whole = members.join(facts_of.join(sets, "cid"), "cid")
         more = stage(links_within(dealt(whole), percent, count).distinct(), "neardup-more")
         if not more.limit(1).count():
             return edges, labels
         edges = edges.unionByName(more)
         return edges, components(edges)
 
-    edges, labels = linked_further(left, edges, labels)
+    if left.limit(1).count():
+        edges, labels = linked_further(left, sets_of(left.select("cid")), edges, labels)
     if later.limit(1).count():
-        _, labels = linked_further(stage(sweep_groups(dense, labels), "neardup-sweep"), edges, labels)
+        members = stage(region_members(dense, labels), "neardup-region-members")
+        if members.limit(1).count():
+            sets = stage(sets_of(members.select("cid")), "neardup-region-sets")
+            groups = stage(sweep_groups(sets.join(members, "cid"), percent), "neardup-sweep")
+            if groups.limit(1).count():
+                _, labels = linked_further(groups, sets, edges, labels)
     return labels
 
 

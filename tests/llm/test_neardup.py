@@ -80,3 +80,54 @@ def test_odd_rows(odd, no_docs):
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert ids == sorted(i for i, _, c in want if i == c)  # repeated rows: one stays
     assert component_report(no_docs).collect() == [] and drop_near_duplicates(no_docs).collect() == []
+
+
+def template_texts(n, own, pairs, seed):
+    """Texts of one template and ``own`` words each, the first ``pairs`` of them with a near copy."""
+    rng = random.Random(seed)
+    template = prose(120, seed).split()
+    texts = [[*template, *(f"own{i}x{rng.randrange(10 ** 6)}" for _ in range(own))] for i in range(n)]
+    copies = []
+    for words in texts[:pairs]:
+        cut = rng.randrange(6, 12)
+        copies.append([*words[:-cut], *(f"end{rng.randrange(10 ** 6)}" for _ in range(cut))])
+    rows = [" ".join(w) for w in texts + copies]
+    rng.shuffle(rows)
+    return list(enumerate(rows, 1))
+
+
+def test_groups_are_bounded_where_texts_share_a_template(spark, monkeypatch):
+    sizes = []
+    real = neardup.links_within
+
+    def counted(grouped, percent, count):
+        sizes.append(grouped.groupBy("g").count().agg({"count": "max"}).collect()[0][0] or 0)
+        return real(grouped, percent, count)
+
+    monkeypatch.setattr(neardup, "GROUP", 8)
+    monkeypatch.setattr(neardup, "FIRST_PAIRS", 0)  # every group with a pair goes on to the second round
+    monkeypatch.setattr(neardup, "links_within", counted)
+    rows = template_texts(400, 25, 20, 3)
+    got = component_report(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 3, 85)
+    assert sizes and max(sizes) <= 5 * neardup.GROUP
+
+
+def test_sweep_groups_bring_all_similar_sets_together(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP", 8)
+    rng = random.Random(4)
+    sets = []
+    for i in range(150):  # no shingle is rare, so that keys are shared by many
+        s = set(rng.sample(range(60), 20)) if i % 3 or not sets else set(sets[-1]) ^ {rng.randrange(60)}
+        sets.append(s)
+    import numpy as np
+    rows = [(i, i if i >= 60 else 0, np.array(sorted(s), dtype=np.uint64).tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cid long, label long, shingles binary")
+    groups = defaultdict(set)
+    for r in neardup.sweep_groups(df, 80).collect():
+        groups[r["g"]].add(r["cid"])
+    meet = {(a, b) for g in groups.values() for a in g for b in g}
+    want = {(a, b) for a in range(150) for b in range(a) if b >= 60 or a >= 60
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert want and want <= meet
+    assert max(map(len, groups.values())) <= 5 * neardup.GROUP
