@@ -131,3 +131,10 @@ def test_sweep_groups_bring_all_similar_sets_together(spark, monkeypatch):
             if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert want and want <= meet
     assert max(map(len, groups.values())) <= 5 * neardup.GROUP
+
+
+def test_pairs_in_different_blocks_of_a_region_are_found(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "GROUP", 6)  # no group overflows FIRST_PAIRS
+    rows = template_texts(600, 14, 60, 5)
+    got = component_report(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 3, 85)
