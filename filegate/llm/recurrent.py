@@ -238,14 +238,19 @@ class Network:
         return logp, back
 
     def learn(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, state: np.ndarray,
-              adam: list) -> np.ndarray:
-        """One step of truncated backpropagation over a window; returns the state to carry on."""
+              adam: list, real: np.ndarray | None = None) -> np.ndarray:
+        """One step of truncated backpropagation over a window; returns the state to carry on.
+
+        ``real`` marks the places that have a token (without it: all).
+        """
         h, v = self.hidden, self.views
         table = self.table()
         out, tape = self.steps(table, inputs, starts, state, keep=True)
         flat = np.zeros_like(self.vector)
         grad = self._views(flat, self.shapes)
-        _, back = self.emit(out.reshape(-1, h), targets.reshape(-1), grad)
+        used = np.ones(targets.size, bool) if real is None else real.reshape(-1)
+        back = np.zeros((targets.size, h), out.dtype)
+        back[used] = self.emit(out.reshape(-1, h)[used], targets.reshape(-1)[used], grad)[1]
         back = back.reshape(out.shape)
         carry = np.zeros_like(state)
         by_table = np.zeros_like(table)
@@ -264,7 +269,7 @@ class Network:
         grad["emb"] += by_table @ v["wx"].T
         grad["wx"] += v["emb"].T @ by_table
         grad["bx"] += by_table.sum(axis=0)
-        flat /= targets.size
+        flat /= max(1, int(used.sum()))
         norm = float(np.sqrt((flat * flat).sum()))
         if norm > 1:
             flat /= norm
@@ -334,12 +339,12 @@ def fit_documents(network: Network, ids: np.ndarray, bounds: np.ndarray, adam: l
     inputs, targets, starts, owner, size = _stream(ids, bounds, lanes(np.diff(bounds), TRAIN_LANES), network.size)
     state, used = np.zeros((inputs.shape[1], network.hidden), np.float32), 0
     for t in range(0, len(inputs), WINDOW):
-        active = int((size >= min(t + WINDOW, len(inputs))).sum())  # whole windows, and the longest lane's rest
-        if active < max(1, inputs.shape[1] // 8):
-            break  # a few long lanes alone: their rest is left to scoring
+        active = int((size > t).sum())
         at = slice(t, t + WINDOW)
-        state = network.learn(inputs[at, :active], targets[at, :active], starts[at, :active], state[:active], adam)
-        used += targets[at, :active].size
+        real = owner[at, :active] >= 0
+        state = network.learn(inputs[at, :active], targets[at, :active], starts[at, :active], state[:active], adam,
+                              real)
+        used += int(real.sum())
     return used
 
 

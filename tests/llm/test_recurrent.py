@@ -76,6 +76,33 @@ def test_state_is_carried_and_lanes_do_not_matter(monkeypatch):
     assert np.allclose(alone, want, atol=1e-3)
 
 
+def test_training_uses_every_token_of_a_long_document():
+    lengths = np.array([3, 5, 2000, 9, 1, 40, 8, 7, 6, 12, 33, 2, 4, 4, 4, 4, 4, 4])
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    ids = np.random.default_rng(8).integers(0, 10, bounds[-1]).astype(np.int32)
+    net, seen, real_learn = small(), [], rec.Network.learn
+    net.learn = lambda inputs, targets, starts, state, adam, real: (
+        seen.append(targets[real]), real_learn(net, inputs, targets, starts, state, adam, real))[1]
+    adam = [0, np.zeros_like(net.vector), np.zeros_like(net.vector)]
+    assert rec.fit_documents(net, ids, bounds, adam) == bounds[-1]
+    assert (np.bincount(np.concatenate(seen), minlength=10) == np.bincount(ids, minlength=10)).all()
+
+
+def test_places_without_a_token_teach_nothing():
+    rng = np.random.default_rng(6)
+    inputs, targets = rng.integers(0, 11, (6, 3)), rng.integers(0, 10, (6, 3))
+    starts, real = np.zeros((6, 3), bool), np.ones((6, 3), bool)
+    real[2:, 2] = False
+    vectors = []
+    for other in (0, 5):
+        net = small()
+        adam = [0, np.zeros_like(net.vector), np.zeros_like(net.vector)]
+        net.learn(np.where(real, inputs, other), np.where(real, targets, other), starts,
+                  np.zeros((3, 4), np.float32), adam, real)
+        vectors.append(net.vector)
+    assert np.allclose(*vectors, atol=1e-6)
+
+
 def brute(rows):
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
