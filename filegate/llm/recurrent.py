@@ -292,23 +292,36 @@ def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
     return [out[i] for i in np.argsort(-filled, kind="stable")]
 
 
-def _stream(ids: np.ndarray, bounds: np.ndarray, dealt: list[list[int]], begin: int
-            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(inputs, targets, starts, document, steps of each lane) as (steps, lanes); unused places have document -1."""
-    size = np.array([sum(int(bounds[d + 1] - bounds[d]) for d in lane) for lane in dealt])
-    shape = (int(size.max()), len(dealt))
-    inputs, targets = np.full(shape, begin, np.int32), np.zeros(shape, np.int32)
-    starts, owner = np.zeros(shape, bool), np.full(shape, -1, np.int32)
-    for i, lane in enumerate(dealt):
-        at = 0
-        for d in lane:
-            own = ids[bounds[d]:bounds[d + 1]]
-            targets[at:at + len(own), i] = own
-            inputs[at + 1:at + len(own), i] = own[:-1]
-            starts[at, i] = True
-            owner[at:at + len(own), i] = d
-            at += len(own)
-    return inputs, targets, starts, owner, size
+def _windows(ids: np.ndarray, bounds: np.ndarray, count: int, begin: int, window: int
+             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(inputs, targets, starts, document) of each window as (steps, lanes that still have tokens).
+
+    Unused places have document -1. The lanes stand behind one another in flat arrays, and only
+    the window at hand is built. Where few lanes are left, a window takes so many more steps that it
+    has about as many tokens, up to the end of the shortest of them.
+    """
+    dealt = lanes(np.diff(bounds), count)
+    order = np.array([d for lane in dealt for d in lane], dtype=np.int64)
+    length = np.diff(bounds)[order]
+    edge = np.concatenate(([0], np.cumsum(length)))
+    flat = ids[np.repeat(bounds[order] - edge[:-1], length) + np.arange(edge[-1])]
+    first = np.zeros(len(flat), bool)
+    first[edge[:-1]] = True
+    owner = np.repeat(order.astype(np.int32), length)
+    ends = edge[np.cumsum([len(lane) for lane in dealt])]
+    size = np.diff(np.concatenate(([0], ends)))
+    low, t = ends - size, 0
+    while t < size[0]:
+        active = int((size > t).sum())
+        steps = int(max(window, min(window * len(size) // active, size[active - 1] - t)))
+        steps = min(steps, int(size[0]) - t)
+        at = np.arange(t, t + steps)[:, None]
+        real = at < size[:active]
+        at = np.where(real, low[:active] + at, low[:active])
+        starts = first[at] & real
+        inputs = np.where(starts | ~real, begin, flat[at - 1])
+        yield inputs, np.where(real, flat[at], 0), starts, np.where(real, owner[at], -1)
+        t += steps
 
 
 def _documents(column: pa.Array, known: Lexicon) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray,
@@ -336,31 +349,24 @@ def _joined(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 def fit_documents(network: Network, ids: np.ndarray, bounds: np.ndarray, adam: list) -> int:
     """Train on the given documents, window by window with the state carried; returns the tokens used."""
-    inputs, targets, starts, owner, size = _stream(ids, bounds, lanes(np.diff(bounds), TRAIN_LANES), network.size)
-    state, used = np.zeros((inputs.shape[1], network.hidden), np.float32), 0
-    for t in range(0, len(inputs), WINDOW):
-        active = int((size > t).sum())
-        at = slice(t, t + WINDOW)
-        real = owner[at, :active] >= 0
-        state = network.learn(inputs[at, :active], targets[at, :active], starts[at, :active], state[:active], adam,
-                              real)
+    state, used = np.zeros((min(TRAIN_LANES, len(bounds) - 1), network.hidden), np.float32), 0
+    for inputs, targets, starts, owner in _windows(ids, bounds, TRAIN_LANES, network.size, WINDOW):
+        real = owner >= 0
+        state = network.learn(inputs, targets, starts, state[:inputs.shape[1]], adam, real)
         used += int(real.sum())
     return used
 
 
 def score_documents(network: Network, table: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log probability of each whole document's numbers."""
-    inputs, targets, starts, owner, size = _stream(ids, bounds, lanes(np.diff(bounds), SCORE_LANES), network.size)
-    state = np.zeros((inputs.shape[1], network.hidden), np.float32)
+    state = np.zeros((min(SCORE_LANES, len(bounds) - 1), network.hidden), np.float32)
     total = np.zeros(len(bounds) - 1)
-    for t in range(0, len(inputs), SCORE_WINDOW):
-        active = int((size > t).sum())
-        at = slice(t, t + SCORE_WINDOW)
-        out, _ = network.steps(table, inputs[at, :active], starts[at, :active], state[:active], keep=False)
+    for inputs, targets, starts, owner in _windows(ids, bounds, SCORE_LANES, network.size, SCORE_WINDOW):
+        out, _ = network.steps(table, inputs, starts, state[:inputs.shape[1]], keep=False)
         state = out[-1]
-        mine = owner[at, :active].reshape(-1)
+        mine = owner.reshape(-1)
         real = mine >= 0
-        logp, _ = network.emit(out.reshape(-1, network.hidden)[real], targets[at, :active].reshape(-1)[real])
+        logp, _ = network.emit(out.reshape(-1, network.hidden)[real], targets.reshape(-1)[real])
         total += np.bincount(mine[real], logp, minlength=len(total))
     return total
 

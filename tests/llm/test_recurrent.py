@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -103,6 +104,20 @@ def test_places_without_a_token_teach_nothing():
     assert np.allclose(*vectors, atol=1e-6)
 
 
+def test_memory_does_not_grow_with_lanes_times_the_longest_text():
+    lengths = np.array([30_000] + [20] * 300)
+    bounds = np.concatenate(([0], np.cumsum(lengths)))
+    ids = np.random.default_rng(8).integers(0, 10, bounds[-1]).astype(np.int32)
+    net = small()
+    adam = [0, np.zeros_like(net.vector), np.zeros_like(net.vector)]
+    tracemalloc.start()
+    rec.score_documents(net, net.table(), ids, bounds)
+    rec.fit_documents(net, ids, bounds, adam)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25_000_000  # 256 dense lanes of 30,000 steps take 100 MB
+
+
 def brute(rows):
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
