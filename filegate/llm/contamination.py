@@ -41,7 +41,7 @@ def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(hash, words, item, length): each window of each item. Items without words have none."""
+    """(hash, words, item, length): each window of each item (a null id: null). Items without words have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,10 +52,11 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window:
                 for r in range(words.rows):
                     first, n = int(bounds[r]), int(bounds[r + 1] - bounds[r])
                     length = min(window, n)
-                    if length and ids[low + r] is not None:
+                    if length:
+                        item = None if ids[low + r] is None else str(ids[low + r])
                         found = window_hashes(hashes[first:first + n], length)
                         text = [words.word(first + i) for i in range(n)]
-                        rows += [(int(h.astype(np.int64)), b" ".join(text[i:i + length]), str(ids[low + r]), length)
+                        rows += [(int(h.astype(np.int64)), b" ".join(text[i:i + length]), item, length)
                                  for i, h in enumerate(found)]
                 if rows:
                     h, w, i, k = zip(*rows, strict=True)
@@ -72,8 +73,8 @@ class WindowSet:
 
     BITS = 22
 
-    def __init__(self, rows: list[tuple[int, bytes, str, int]]):
-        self.items: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
+    def __init__(self, rows: list[tuple[int, bytes, str | None, int]]):
+        self.items: dict[int, dict[bytes, set[str | None]]] = defaultdict(lambda: defaultdict(set))
         self.lengths = sorted({k for *_, k in rows})
         self.filter = np.zeros(1 << self.BITS, dtype=bool)
         for h, words, item, _ in rows:
@@ -81,11 +82,11 @@ class WindowSet:
         keys = np.array(list(self.items), dtype=np.int64).astype(np.uint64)
         self.filter[(keys >> np.uint64(64 - self.BITS)).astype(np.int64)] = True
 
-    def scan(self, words) -> Iterator[tuple[int, np.ndarray, set[str]]]:
+    def scan(self, words) -> Iterator[tuple[int, np.ndarray, set[str | None]]]:
         """(row, mask of hit words, items) of each row with an occurring window."""
         hashes, bounds = words.hashes(), words.bounds()
         hit: dict[int, np.ndarray] = {}
-        found: dict[int, set[str]] = defaultdict(set)
+        found: dict[int, set[str | None]] = defaultdict(set)
         for length in self.lengths:
             runs = window_hashes(hashes, length)
             if not len(runs):
@@ -110,8 +111,8 @@ class WindowSet:
 _RESULT = "n_words long, n_hit long, n_items long, items_sha256 string"
 
 
-def _digest(items: set[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+def _digest(items: set[str | None]) -> str:
+    return hashlib.sha256(",".join(sorted(i for i in items if i is not None)).encode()).hexdigest()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -120,8 +121,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id, n_words, n_hit, n_items, items_sha256, contaminated) of every document.
 
     A document is contaminated when ``n_hit > 0`` and ``20 * n_hit >= n_words``. Null and empty
-    texts have no words; items without words or id have no window; an empty benchmark leaves
-    all documents clean; repeated rows and null ids are kept, one row out for each row in.
+    texts have no words; items without words have no window; items without id count as one in
+    ``n_items`` and are not in ``items_sha256``, as in the SQL; an empty benchmark leaves all documents clean; repeated rows and null ids are kept, one row out for each row in.
     With ``keep``, the columns of ``docs`` follow unchanged (names that clash get a leading
     underscore on the result's side).
     """
@@ -209,7 +210,8 @@ def _by_join(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str, ke
     hits = expanded.join(windows, ["hash", "words", "length"])
     per_row = hits.groupBy("row").agg(
         F.array_sort(F.collect_set(F.struct("pos", "length"))).alias("spans"),
-        F.array_sort(F.collect_set("item")).alias("items"))
+        F.array_sort(F.collect_set("item")).alias("items"),
+        F.max(F.col("item").isNull().cast("long")).alias("unnamed"))
     # words under any span: spans are sorted by position; count what lies beyond the furthest end so far
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
@@ -219,7 +221,7 @@ def _by_join(docs: DataFrame, windows: DataFrame, id_col: str, text_col: str, ke
             F.greatest(acc["upto"], s["pos"] + s["length"]).alias("upto")),
         lambda acc: acc["n"])
     per_row = per_row.select(F.col("row").alias("_hit_row"), covered.alias("_n_hit"),
-                             F.size("items").cast("long").alias("_n_items"),
+                             (F.size("items") + F.col("unnamed")).alias("_n_items"),
                              F.sha2(F.concat_ws(",", "items"), 256).alias("_digest"))
     names = _names(docs) if keep else ["n_words", "n_hit", "n_items", "items_sha256"]
 

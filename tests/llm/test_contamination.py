@@ -52,3 +52,16 @@ def test_spans_are_removed(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     got = {r["doc_id"]: r["text"] for r in remove_spans(docs, bench).collect()}
     assert got == {1: "Before,  after", 2: None}
+
+
+def test_items_without_id_count(spark):
+    docs = spark.createDataFrame([(1, "a one two three"), (2, "one two three four"), (3, "other")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "one two three"), (None, "two three"), (7, "three four")],
+                                  "item_id long, text string")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for bound in (200_000, 1):  # as the SQL says: null ids are one distinct item, and not in the digest
+        got = contamination(docs, bench, broadcast_windows=bound)
+        assert sorted(map(tuple, got.collect())) == [
+            (1, 4, 3, 1, sha(""), True), (2, 4, 4, 2, sha("7"), True), (3, 1, 0, 0, sha(""), False)]
+        assert [r["doc_id"] for r in drop_contaminated(docs, bench, broadcast_windows=bound).collect()] == [3]
