@@ -35,8 +35,8 @@ HIDDEN = 16
 BROADCAST_TOKENS = 400_000
 WARM_UP_DOCS = 3000
 ROUNDS = 2
-#: One training document in so many is fitted in each round.
-ROUND_SHARE = 16
+#: One training document in so many is fitted in each round; the rounds together fit all of them.
+ROUND_SHARE = ROUNDS
 WINDOW = 32
 TRAIN_LANES = 64
 SCORE_LANES = 256

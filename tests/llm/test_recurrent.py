@@ -118,6 +118,10 @@ def test_memory_does_not_grow_with_lanes_times_the_longest_text():
     assert peak < 25_000_000  # 256 dense lanes of 30,000 steps take 100 MB
 
 
+def test_the_rounds_fit_every_training_document():
+    assert {i % rec.ROUND_SHARE for i in range(1000)} <= set(range(rec.ROUNDS))
+
+
 def brute(rows):
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
     tokens = [[*(t or "").encode().lower().split(), None] for _, t in rows]
