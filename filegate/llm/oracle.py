@@ -57,7 +57,8 @@ OP3 = r"""
 WITH RECURSIVE docs AS (
   SELECT doc_id, list_filter(string_split_regex(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[ 	-]+'), lambda x: x <> '') AS w
+           '[ 	-
+]+'), lambda x: x <> '') AS w
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
@@ -93,7 +94,101 @@ SELECT m.doc_id, CAST(m.n AS BIGINT) AS n_shingles, coalesce(component, m.rep, m
 FROM members m LEFT JOIN smallest USING (rep)
 """
 
+#: The units of each text as a list; the four numbers from the digest of the id; parts joined again.
+OP13 = r"""
+WITH h AS (
+  SELECT *, sha256('1:' || CAST(doc_id AS VARCHAR)) AS x, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents
+), numbers AS (
+  SELECT doc_id, t, u, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4
+  FROM h
+), cuts AS (
+  SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers
+), parts AS (
+  SELECT doc_id, t, form, len(u) AS n, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+         array_to_string(u[b + 1:], '') AS s
+  FROM cuts
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM parts
+"""
+
+
+def _op12() -> str:
+    """Windows and lines as rows; candidate cutoffs as rows; binomial tails as sums of terms by ``lgamma``."""
+    from filegate.llm.qualityrules import DELTA, RISK, RULES
+
+    candidates = ", ".join(f"('{r.name}', {i}, CAST({c!r} AS DOUBLE))" for r in RULES for i, c in enumerate(r.cutoffs, 1))
+    values = " UNION ALL ".join(
+        f"SELECT r, doc_id, stratum, base_failed, '{r.name}' AS rule, {r.measure.replace('0.0D', '0.0')} AS x FROM base"
+        for r in RULES)
+    return rf"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('s' || lang, 'n') AS stratum, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), lines AS (
+  SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM words
+), windows AS (
+  SELECT r, unnest(g) AS g, generate_subscripts(g, 1) AS i
+  FROM (SELECT r, [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] AS g
+        FROM words WHERE len(w) >= 3)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM windows) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + d) AS n FROM repeated, (VALUES (0), (1), (2)) AS v(d) GROUP BY r
+), counts AS (
+  SELECT r, doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM words JOIN lines USING (r) LEFT JOIN covered USING (r)
+), base AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+), measures AS (
+  {values}
+), candidates(rule, step, cutoff) AS (
+  VALUES {candidates}
+), good AS (
+  SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) > 0
+), tested AS (
+  SELECT stratum, rule, step, cutoff, CAST(count(*) AS DOUBLE) AS n, CAST(count_if(x > cutoff) AS DOUBLE) AS k
+  FROM measures SEMI JOIN good USING (doc_id) JOIN candidates USING (rule)
+  WHERE NOT base_failed GROUP BY ALL
+), tails AS (
+  SELECT stratum, rule, step, cutoff, CASE WHEN k > n * {RISK / len(RULES)!r} THEN 1.0 ELSE list_sum(list_transform(
+           range(0, CAST(k AS BIGINT) + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+             + j * ln({RISK / len(RULES)!r}) + (n - j) * ln(1 - {RISK / len(RULES)!r})))) END AS p
+  FROM tested
+), accepted AS (
+  SELECT *, max(p) OVER (PARTITION BY stratum, rule ORDER BY step) AS worst FROM tails
+), chosen AS (
+  SELECT stratum, rule, arg_max(cutoff, step) AS cutoff FROM accepted
+  WHERE worst <= {DELTA!r} / ((SELECT count(DISTINCT stratum) FROM tested) * {len(RULES)}) GROUP BY ALL
+), order_of(rule, place) AS (
+  VALUES {", ".join(f"('{r.name}', {i})" for i, r in enumerate(RULES))}
+), rejected AS (
+  SELECT r, string_agg(rule, ',' ORDER BY place) AS failed_rules
+  FROM measures JOIN chosen USING (stratum, rule) JOIN order_of USING (rule) WHERE x > cutoff GROUP BY r
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND failed_rules IS NULL AS kept, coalesce(failed_rules, '') AS failed_rules
+FROM base LEFT JOIN rejected USING (r)
+"""
+
 
 def statements() -> dict[str, str]:
     """SQL per query name."""
-    return {"op3_near_duplicates": OP3, "op4_warc": OP4, "op10_decontamination": OP10}
+    return {"op3_near_duplicates": OP3, "op4_warc": OP4, "op10_decontamination": OP10,
+            "op12_quality_rules": _op12(), "op13_fill_in_middle": OP13}

@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = list(queries.registry())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(oracle.statements()) <= set(names)
 
 
