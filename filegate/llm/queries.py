@@ -76,6 +76,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from filegate.llm.merkle import tamper_report
+
+    return tamper_report(table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from filegate.llm.qualityrules import quality_rules
 
