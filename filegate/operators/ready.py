@@ -20,6 +20,11 @@ def _reason(now: Column) -> Column:
     )
 
 
+def is_ready(now: Column) -> Column:
+    """The group is OPEN and ready at ``now``."""
+    return _reason(now).isNotNull()
+
+
 def ready_candidates(state: DataFrame, now: Column) -> DataFrame:
     """OPEN groups that are ready at ``now``, with the reason and the incomplete flag."""
     return (

@@ -5,10 +5,14 @@ re-run after a crash at any point converge to the same tables:
 
 1. the audit events (deterministic ids; stored ids are skipped);
 2. the rows of the insert-only tables (stored keys are skipped, row by row);
-3. the group state, last: the partitions of the dates that changed.
+3. the group state, last: a version that appears whole or not at all (``sources/state.py``).
 
-A crash after 1 or 2 leaves rows whose keys the re-run produces again and skips.
-Counters come back as one small row per job.
+A crash after 1 or 2 leaves rows whose keys the re-run produces again and skips; one inside 3 leaves the old state.
+
+Evaluate reads the runs of ``file_events`` that no version covers and merges them into the stored partials
+of their groups: part numbers as bitmaps, announced counts as rows, first and last arrival in the state row. It
+writes the groups that were created, that changed, or that became ready. ``incremental_refresh=False`` folds
+all events anew and writes a whole version. Counters come back as one small row per job.
 """
 
 from __future__ import annotations
@@ -19,12 +23,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filegate.functions import rules
 from filegate.functions.rules import DEFAULT_DISPATCH_LIMIT, DEFAULT_TIMEOUT_MINUTES, timestamp_literal
-from filegate.operators import audit, dispatch, register
+from filegate.operators import audit, dispatch, groups, register
 from filegate.plans.steps import DispatchStep, EvaluateStep, IngestOptions, IngestStep, ready_left
 from filegate.session import materialize
 from filegate.sources.landing import read_landing
-from filegate.sources.tables import ControlTables
+from filegate.sources.tables import ControlTables, date_ranges
 
 
 @dataclass(frozen=True)
@@ -38,7 +43,8 @@ class FilegateConfig:
     strict: bool = False
     strict_manifest: bool = False
     dispatch_batch_limit: int | None = DEFAULT_DISPATCH_LIMIT
-    incremental_refresh: bool = False
+    incremental_refresh: bool = True
+    merge_runs_from: int = 50
 
     @property
     def ingest_checkpoint(self) -> str:
@@ -77,7 +83,9 @@ def ingest_batch(spark: SparkSession, config: FilegateConfig, raw: DataFrame, no
     step = IngestStep(raw, now_col, stored, config.ingest_options)
     counters = _row_dict(step.counters)
     counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
-    store.append("file_events", step.inserted)
+    store.close_stopped_runs()
+    if counters["inserted"]:
+        store.append("file_events", step.inserted)
     return counters
 
 
@@ -91,34 +99,72 @@ def run_ingest(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
 
 # --- evaluate -------------------------------------------------------------------------------
 
-def _events_to_fold(store: ControlTables, config: FilegateConfig) -> DataFrame:
-    """Valid events to fold: all of them, or all of the groups with an event that no run has folded.
+STATE_DATES = "dt_ref"
+
+
+def _dates_rule(df: DataFrame) -> Column:
+    """A partition filter with the dates of ``df``: few ranges, one row per calendar month on the driver."""
+    months = df.groupBy(F.trunc(STATE_DATES, "month")).agg(F.min(STATE_DATES), F.max(STATE_DATES)).collect()
+    rule = F.lit(False)
+    for first, last in date_ranges([(r[1], r[2]) for r in months if r[0] is not None]):
+        rule = rule | F.col(STATE_DATES).between(F.lit(first), F.lit(last))
+    return rule
 
-    What was folded is known by the data files of ``file_events``, not by any clock; a changed
-    timeout makes every file count as new, because every deadline moves.
-    """
-    events = register.valid_events(store.read("file_events", with_file=True))
-    folded = store.folded_files(config.group_timeout_minutes) if config.incremental_refresh else None
-    if folded is None:
-        return events
-    new = events.join(folded, "data_file", "left_anti")
-    touched = materialize(new.select("group_key", "dt_ref").distinct())
-    near = register.valid_events(store.near("file_events", touched))
-    return near.join(touched.select("group_key"), "group_key", "left_semi")
+
+class Fold:
+    """New events merged with the stored partials of their groups; ``whole`` folds all events with nothing stored."""
+
+    def __init__(self, store: ControlTables, events: DataFrame, whole: bool):
+        events = register.valid_events(events)
+        spans = groups.span_partials(events)
+        bitmaps, announced = groups.bitmap_partials(events), groups.announced_partials(events)
+        if not whole:
+            touched = materialize(events.select("group_key", STATE_DATES).distinct())
+            rule, keys = _dates_rule(touched), touched.select("group_key")
+            stored = {n: store.state.read(n, rule).join(keys, "group_key", "left_semi")
+                      for n in ("groups", "part_bitmaps", "announced")}
+            spans = groups.merge_spans(spans, stored["groups"].select("group_key", "first_seen_at", "last_seen_at"))
+            bitmaps = groups.merge_bitmaps(bitmaps, stored["part_bitmaps"])
+            announced = groups.merge_announced(announced, stored["announced"])
+        self.spans, self.part_bitmaps, self.announced = spans, materialize(bitmaps), materialize(announced)
+
+    def aggregate(self, timeout_minutes: int, now: Column) -> DataFrame:
+        return groups.aggregate_partials(self.spans, self.part_bitmaps, self.announced, timeout_minutes, now)
 
 
 def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
-    """Refresh the group state from the registered files, then mark ready groups."""
+    """Fold the files registered since the last version into the group state, then mark ready groups."""
     store = ControlTables(spark, config.tables_root)
     store.ensure()
     now_col = timestamp_literal(_now(now))
-    seen = materialize(store.data_files("file_events")) if config.incremental_refresh else None
-    step = EvaluateStep(store.read("groups"), _events_to_fold(store, config), config.group_timeout_minutes, now_col)
+    live = store.state.live()
+    whole = not config.incremental_refresh
+    folded = live[-1].run if live else -1
+    timeout = config.group_timeout_minutes
+    run = max(store.new_runs(folded), default=folded)
+    fold = Fold(store, store.read("file_events") if whole else store.feed(folded), whole)
+    state = store.read("groups")
+    moved_deadlines = bool(live) and live[-1].timeout != timeout
+    stored = state.withColumn("expires_at", rules.expires_at("first_seen_at", timeout)) if moved_deadlines else state
+    merged = groups.merge_groups(stored, fold.aggregate(timeout, now_col))
+    if not (whole or moved_deadlines):  # what is neither touched nor open cannot change
+        merged = merged.where(F.col("_touched") | (F.col("status") == rules.STATUS_OPEN))
+    step = EvaluateStep(state, None, timeout, now_col)
+    step.merged = materialize(merged)
     counters = _row_dict(step.refresh_counters) | _row_dict(step.readiness_counters)
     counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
-    store.write_groups(step.evaluated, step.touched_dates)
-    if seen is not None:
-        store.mark_folded(seen, config.group_timeout_minutes)
+    if whole or moved_deadlines:
+        kept = state.join(step.changes.select("group_key"), "group_key", "left_anti")
+        if moved_deadlines:
+            kept = kept.withColumn("expires_at", rules.expires_at("first_seen_at", timeout))
+        changed = materialize(step.changes.unionByName(kept))
+    else:
+        changed = materialize(step.changes)
+    if whole or moved_deadlines or run != folded or not live or changed.limit(1).count():
+        tables = {"groups": changed, "part_bitmaps": fold.part_bitmaps, "announced": fold.announced}
+        store.state.commit(tables, run, timeout, whole=whole)
+    if len(store.runs()) >= config.merge_runs_from:
+        store.merge_runs()
     return counters
 
 
@@ -144,12 +190,11 @@ def run_dispatch(spark: SparkSession, config: FilegateConfig, now=None, limit: i
     counters = _row_dict(step.counters)
     counters["ready_left"] = ready_left(state, limit)
     counters["audit_events"] = _append_audit(store, step.audit_events, now_col)
+    marked = materialize(dispatch.mark_dispatched(chosen, step.marks))
     store.insert_if_absent("dispatch_files", snapshot)
     store.insert_if_absent("dispatch", step.sent)
-    marks = materialize(step.marks.join(chosen.select("group_key", "dt_ref"), "group_key"))
-    final = DispatchStep(state, None, state, now_col)
-    final.marks = marks.select("group_key", "dispatched_at")
-    store.write_groups(final.final_state, marks.select("dt_ref").distinct())
+    if counters["ready_groups"]:
+        store.state.commit({"groups": marked})
     return counters
 
 

@@ -84,7 +84,7 @@ class IngestStep:
 class EvaluateStep:
     """Valid events folded into the stored state, then the groups that are ready."""
 
-    def __init__(self, state: DataFrame, valid_events: DataFrame, timeout_minutes: int, now: Column,
+    def __init__(self, state: DataFrame, valid_events: DataFrame | None, timeout_minutes: int, now: Column,
                  stage: bool = True):
         self.state, self.valid_events = state, valid_events
         self.timeout_minutes, self.now, self.stage = timeout_minutes, now, stage
@@ -111,10 +111,10 @@ class EvaluateStep:
         return ready.mark_ready(self.refreshed, self.now)
 
     @cached_property
-    def touched_dates(self) -> DataFrame:
-        """``dt_ref`` of the groups that the fold saw or that became ready: the partitions to rewrite."""
-        hit = self.merged.where("_touched").select("dt_ref")
-        return hit.unionByName(self.candidates.select("dt_ref")).distinct()
+    def changes(self) -> DataFrame:
+        """The state rows to write: groups created, changed or ready. The others keep theirs."""
+        ready_now = ready.is_ready(self.now)
+        return ready.mark_ready(self.merged.where(F.col("_moved") | ready_now), self.now)
 
     @cached_property
     def refresh_counters(self) -> DataFrame:

@@ -124,15 +124,39 @@ AUDIT_SCHEMA = T.StructType(
 
 TABLE_SCHEMAS = {
     "file_events": FILE_EVENTS_SCHEMA,
-    "groups": GROUPS_SCHEMA,
     "dispatch": DISPATCH_SCHEMA,
     "dispatch_files": DISPATCH_FILES_SCHEMA,
     "audit": AUDIT_SCHEMA,
 }
 
+#: Received part numbers of a group: one bitmap per 32,768 numbers.
+PART_BITMAPS_SCHEMA = T.StructType(
+    [
+        T.StructField("group_key", T.StringType(), False),
+        T.StructField("bucket", T.LongType(), False),
+        T.StructField("bitmap", T.BinaryType(), False),
+        T.StructField("dt_ref", T.DateType(), False),
+    ]
+)
+
+#: Part counts announced for a group, each with the arrival and key of its first manifest.
+ANNOUNCED_SCHEMA = T.StructType(
+    [
+        T.StructField("group_key", T.StringType(), False),
+        T.StructField("expected_parts", T.IntegerType(), False),
+        T.StructField("arrived_at", T.TimestampType(), False),
+        T.StructField("file_business_key", T.StringType(), False),
+        T.StructField("dt_ref", T.DateType(), False),
+    ]
+)
+
+#: The mutable tables, kept as versions (``sources/state.py``), and the insert-only ones.
+STATE_SCHEMAS = {"groups": GROUPS_SCHEMA, "part_bitmaps": PART_BITMAPS_SCHEMA, "announced": ANNOUNCED_SCHEMA}
+STATE_KEYS = {"groups": ["group_key"], "part_bitmaps": ["group_key", "bucket"],
+              "announced": ["group_key", "expected_parts"]}
+
 TABLE_KEYS = {
     "file_events": ["file_business_key"],
-    "groups": ["group_key"],
     "dispatch": ["dispatch_key"],
     "dispatch_files": ["dispatch_key", "file_business_key"],
     "audit": ["audit_id"],
