@@ -37,12 +37,14 @@ WARM_UP_DOCS = 3000
 ROUNDS = 2
 #: One training document in so many is fitted in each round; the rounds together fit all of them.
 ROUND_SHARE = ROUNDS
-WINDOW = 32
-TRAIN_LANES = 64
+WINDOW = 16
+TRAIN_LANES = 128
 SCORE_LANES = 256
 SCORE_WINDOW = 64
 GROUP_BYTES = 8 << 20
 RATE = 0.01
+#: Classes with fewer targets in a window share their matrix products.
+CLASS_TOKENS = 64
 #: Hash that stands for the end token.
 END = np.uint64(0xE5D0E5D0E5D0E5D1)
 
@@ -182,59 +184,80 @@ class Network:
         return self.views["emb"] @ self.views["wx"] + self.views["bx"]
 
     def steps(self, table: np.ndarray, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
-              keep: bool) -> tuple[np.ndarray, list]:
+              keep: bool) -> tuple[np.ndarray, tuple | None]:
         """States after each step of a window (steps, lanes, hidden); with ``keep`` what backpropagation needs."""
-        h, out, tape = self.hidden, np.empty((*inputs.shape, self.hidden), np.float32), []
-        wh, bh = self.views["wh"], self.views["bh"]
-        for t in range(len(inputs)):
-            before = np.where(starts[t][:, None], np.float32(0), state)
-            x = table[inputs[t]]
-            g = before @ wh + bh
-            rz = 1 / (1 + np.exp(-(x[:, :2 * h] + g[:, :2 * h])))
-            r, z = rz[:, :h], rz[:, h:]
-            n = np.tanh(x[:, 2 * h:] + r * g[:, 2 * h:])
-            state = n + z * (before - n)
-            out[t] = state
-            if keep:
-                tape.append((before, r, z, n, g[:, 2 * h:]))
-        return out, tape
+        h, (steps, lanes) = self.hidden, inputs.shape
+        out = np.empty((steps, lanes, h), np.float32)
+        rows = steps if keep else 1
+        gate, n_all, g_all = (np.empty((rows, *k, lanes, h), np.float32) for k in ((2,), (), (3,)))
+        # 1 / (1 + exp(-x)) of the gates r and z: their inputs and weights enter with the sign of the exponent.
+        # Gates stand in front of lanes, so that each is one piece of memory.
+        sign = np.repeat(np.array([-1, 1], np.float32), [2 * h, h])
+        bh = self.views["bh"]
+        wh = np.ascontiguousarray((self.views["wh"] * sign).reshape(h, 3, h).transpose(1, 0, 2))
+        x = ((table + np.where(sign < 0, bh, np.float32(0))) * sign)[inputs]
+        x = np.ascontiguousarray(x.reshape(steps, lanes, 3, h).transpose(0, 2, 1, 3))
+        fresh = starts.any(axis=1)
+        for t in range(steps):
+            before = np.where(starts[t][:, None], np.float32(0), state) if fresh[t] else state
+            g, rz, n = (part[t if keep else 0] for part in (g_all, gate, n_all))
+            np.matmul(before, wh, out=g)
+            g[2] += bh[2 * h:]
+            np.add(g[:2], x[t, :2], out=rz)
+            np.exp(rz, out=rz)
+            rz += 1
+            np.reciprocal(rz, out=rz)
+            np.multiply(rz[0], g[2], out=n)
+            n += x[t, 2]
+            np.tanh(n, out=n)
+            now = out[t]
+            np.subtract(before, n, out=now)
+            now *= rz[1]
+            now += n
+            if t == 0:
+                first = before
+            state = now
+        if not keep:
+            return out, None
+        before = np.concatenate((first[None], out[:-1]))
+        before[starts] = 0
+        return out, (before, gate[:, 0], gate[:, 1], n_all, g_all[:, 2])
 
     def emit(self, states: np.ndarray, targets: np.ndarray, grad: dict | None = None
              ) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each target, and the gradient of their negative sum by the states."""
         v, cls, place = self.views, self.word_class[targets], self.word_place[targets]
-        logits = states @ v["wc"] + v["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        norm = p.sum(axis=1)
-        rows = np.arange(len(targets))
-        logp = logits[rows, cls] - np.log(norm)
+        p, logp = _softmax(states @ v["wc"] + v["bc"], cls)
         back = None
         if grad is not None:
-            p /= norm[:, None]
-            p[rows, cls] -= 1
             grad["wc"] += states.T @ p
             grad["bc"] += p.sum(axis=0)
             back = p @ v["wc"].T
         order = np.argsort(cls, kind="stable")
         edges = np.searchsorted(cls[order], np.arange(1, self.classes + 1))
-        for c in range(1, self.classes):
+        count = np.diff(edges)
+        for c in np.flatnonzero(count >= CLASS_TOKENS) + 1:
             at = order[edges[c - 1]:edges[c]]
-            if not len(at):
-                continue
             s = states[at]
-            inner = s @ v["ww"][c].T + v["bw"][c]
-            inner -= inner.max(axis=1, keepdims=True)
-            q = np.exp(inner)
-            total = q.sum(axis=1)
-            one = np.arange(len(at))
-            logp[at] += inner[one, place[at]] - np.log(total)
+            q, logp_in = _softmax(s @ v["ww"][c].T + v["bw"][c], place[at])
+            logp[at] += logp_in
             if grad is not None:
-                q /= total[:, None]
-                q[one, place[at]] -= 1
                 grad["ww"][c] += q.T @ s
                 grad["bw"][c] += q.sum(axis=0)
                 back[at] += q @ v["ww"][c]
+        # the classes with few targets, all at once: each target with its class's weights beside it
+        few = np.flatnonzero((count > 0) & (count < CLASS_TOKENS)) + 1
+        if len(few):
+            at = np.concatenate([order[edges[c - 1]:edges[c]] for c in few])
+            weights, s = v["ww"][cls[at]], states[at]
+            q, logp_in = _softmax((weights @ s[:, :, None])[:, :, 0] + v["bw"][cls[at]], place[at])
+            logp[at] += logp_in
+            if grad is not None:
+                back[at] += (q[:, None, :] @ weights)[:, 0]
+                last = np.cumsum(count[few - 1])
+                for c, low, high in zip(few, last - count[few - 1], last, strict=True):
+                    grad["ww"][c] += q[low:high].T @ s[low:high]
+                grad["bw"][few] += np.add.reduceat(q, last - count[few - 1], axis=0)
         return logp, back
 
     def learn(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, state: np.ndarray,
@@ -245,42 +268,83 @@ class Network:
         """
         h, v = self.hidden, self.views
         table = self.table()
-        out, tape = self.steps(table, inputs, starts, state, keep=True)
+        out, (before, r, z, n, candidate) = self.steps(table, inputs, starts, state, keep=True)
         flat = np.zeros_like(self.vector)
         grad = self._views(flat, self.shapes)
         used = np.ones(targets.size, bool) if real is None else real.reshape(-1)
         back = np.zeros((targets.size, h), out.dtype)
         back[used] = self.emit(out.reshape(-1, h)[used], targets.reshape(-1)[used], grad)[1]
         back = back.reshape(out.shape)
+        # what a change of the state after a step means for each gate, for all steps at once
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (before - n) * z * (1 - z)
+        by_r = candidate * r * (1 - r)
+        dx = np.empty((len(inputs), 3, *inputs.shape[1:], h), np.float32)  # by the gates' inputs: r, z, n
+        dg = np.empty_like(dx)                                             # by their recurrent parts
         carry = np.zeros_like(state)
-        by_table = np.zeros_like(table)
+        back_wh = np.ascontiguousarray(v["wh"].reshape(h, 3, h).transpose(1, 2, 0))
+        fresh = starts.any(axis=1)
         for t in range(len(inputs) - 1, -1, -1):
-            before, r, z, n, gn = tape[t]
-            d = back[t] + carry
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            dx = np.concatenate((dr, dz, dn), axis=1)
-            dg = np.concatenate((dr, dz, dn * r), axis=1)
-            np.add.at(by_table, inputs[t], dx)
-            grad["wh"] += before.T @ dg
-            grad["bh"] += dg.sum(axis=0)
-            carry = np.where(starts[t][:, None], np.float32(0), d * z + dg @ v["wh"].T)
-        grad["emb"] += by_table @ v["wx"].T
-        grad["wx"] += v["emb"].T @ by_table
-        grad["bx"] += by_table.sum(axis=0)
+            d, x = back[t], dx[t]
+            d += carry
+            np.multiply(d, by_n[t], out=x[2])
+            np.multiply(d, by_z[t], out=x[1])
+            np.multiply(x[2], by_r[t], out=x[0])
+            dg[t, :2] = x[:2]
+            np.multiply(x[2], r[t], out=dg[t, 2])
+            carry = np.matmul(dg[t], back_wh).sum(axis=0)
+            carry += d * z[t]
+            if fresh[t]:
+                carry[starts[t]] = 0
+        flat_before = before.reshape(-1, h).T
+        for k in range(3):
+            part = dg[:, k].reshape(-1, h)
+            grad["wh"][:, k * h:(k + 1) * h] += flat_before @ part
+            grad["bh"][k * h:(k + 1) * h] += part.sum(axis=0)
+        by_token, tokens = _row_sums(inputs.reshape(-1), dx.transpose(0, 2, 1, 3).reshape(-1, 3 * h))
+        grad["emb"][tokens] += by_token @ v["wx"].T
+        grad["wx"] += v["emb"][tokens].T @ by_token
+        grad["bx"] += by_token.sum(axis=0)
         flat /= max(1, int(used.sum()))
-        norm = float(np.sqrt((flat * flat).sum()))
+        norm = float(np.sqrt(flat @ flat))
         if norm > 1:
             flat /= norm
         adam[0] += 1
-        adam[1] += 0.1 * (flat - adam[1])
-        adam[2] += 0.01 * (flat * flat - adam[2])
+        adam[1] *= 0.9
+        adam[1] += 0.1 * flat
+        adam[2] *= 0.99
+        flat *= flat
+        flat *= 0.01
+        adam[2] += flat
         size = RATE * np.sqrt(1 - 0.99 ** adam[0]) / (1 - 0.9 ** adam[0])
-        self.vector -= (size * adam[1] / (np.sqrt(adam[2]) + 1e-6)).astype(np.float32)
+        step = np.sqrt(adam[2], out=flat)
+        step += 1e-6
+        np.divide(adam[1], step, out=step)
+        step *= size
+        self.vector -= step
         return out[-1]
 
 
+def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities less one at each row's target (the gradient by the logits), and the log probability there."""
+    logits -= logits.max(axis=1, keepdims=True)
+    rows = np.arange(len(target))
+    own = logits[rows, target]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1)
+    logits /= total[:, None]
+    logits[rows, target] -= 1
+    return logits, own - np.log(total)
+
+
+def _row_sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of each key, and the keys (sorted)."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return np.add.reduceat(rows[order], first, axis=0), keys[first]
+
+
 def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
     """Documents dealt to at most ``count`` lanes of like length, longest lane first."""
     count = max(1, min(count, len(lengths)))
@@ -401,7 +465,12 @@ def train(docs: DataFrame, shared, id_col: str, text_col: str, rounds: int = ROU
     """Weights after the warm-up on a bounded number of documents and the rounds of averaging."""
     rows = _train_rows(docs, id_col, text_col)
     start = Network(shared.value.frequency).vector
-    few = rows.orderBy("order", "text").limit(warm_up).select("text").coalesce(1)
+    # about ``warm_up`` documents by a hash cut; the end token counts the documents. Only the chosen texts move.
+    known = shared.value
+    documents = max(1.0, float(known.frequency[known.end]) - 1)
+    cut = int(min(1.0, warm_up / documents) * (2 ** 63 - 1))
+    drawn = F.xxhash64("order", F.monotonically_increasing_id()).bitwiseAND(F.lit(2 ** 63 - 1)) <= cut
+    few = rows.withColumn("drawn", drawn).where("drawn").select("text").repartition(1)
     vector = _averaged(few, shared, None, start)
     for r in range(rounds):
         part = rows.filter(F.pmod(F.col("order"), F.lit(share)) == r).select("text")
