@@ -467,8 +467,8 @@ def train(docs: DataFrame, shared, id_col: str, text_col: str, rounds: int = ROU
     start = Network(shared.value.frequency).vector
     # about ``warm_up`` documents by a hash cut; the end token counts the documents. Only the chosen texts move.
     known = shared.value
-    documents = max(1.0, float(known.frequency[known.end]) - 1)
-    cut = int(min(1.0, warm_up / documents) * (2 ** 63 - 1))
+    documents = max(1, int(known.frequency[known.end]) - 1)
+    cut = (2 ** 63 - 1) * min(warm_up, documents) // documents
     drawn = F.xxhash64("order", F.monotonically_increasing_id()).bitwiseAND(F.lit(2 ** 63 - 1)) <= cut
     few = rows.withColumn("drawn", drawn).where("drawn").select("text").repartition(1)
     vector = _averaged(few, shared, None, start)
