@@ -20,8 +20,13 @@ def _raw_columns(raw: DataFrame) -> DataFrame:
     return raw
 
 
-def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
-                         strict: bool = False, strict_manifest: bool = False) -> DataFrame:
+def clock(now: Column, timezone: str = "UTC") -> Column:
+    """``now`` as the wall time of ``timezone`` shifted to UTC; the instant itself for UTC."""
+    return now if timezone == "UTC" else F.to_utc_timestamp(now, timezone)
+
+
+def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest", strict: bool = False,
+                         strict_manifest: bool = False, timezone: str = "UTC") -> DataFrame:
     """Attach the parsed file-name metadata to a landing listing.
 
     ``raw`` has ``path, modificationTime, length[, content]``. ``arrival="ingest"``
@@ -29,6 +34,7 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
     ``"modification"`` uses the file's modification time instead. ``strict`` adds the
     ``PART_NUMBER_OUT_OF_RANGE`` parse error for part numbers beyond int range;
     ``strict_manifest`` makes the diagnosis of a bad manifest payload its parse error.
+    ``timezone`` says in which zone ``now`` is read (a session whose clock shows local time).
     """
     if arrival not in ARRIVAL_MODES:
         raise ValueError(f"arrival must be one of {ARRIVAL_MODES}")
@@ -51,7 +57,7 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
         parsing.part_number("part_number_str", "is_manifest").alias("part_number"),
         (F.when(F.col("is_manifest"), parsing.strict_expected_parts("content")) if strict_manifest
          else parsing.manifest_expected_parts("content", "is_manifest")).alias("expected_parts"),
-        (now if arrival == "ingest" else F.col("modificationTime")).alias("arrived_at"),
+        (clock(now, timezone) if arrival == "ingest" else F.col("modificationTime")).alias("arrived_at"),
     )
     error = parsing.parse_error(
         "logical_file_name", "dt_ref", "part_number_str", "part_number", strict=strict, name_ok=F.col("_name_ok"))
@@ -65,13 +71,13 @@ def with_parsed_metadata(raw: DataFrame, now: Column, arrival: str = "ingest",
 
 
 def parsed_files(raw: DataFrame, now: Column, arrival: str = "ingest", checksum: str | None = None,
-                 strict: bool = False, strict_manifest: bool = False) -> DataFrame:
+                 strict: bool = False, strict_manifest: bool = False, timezone: str = "UTC") -> DataFrame:
     """Landing listing -> what registration carries of each file, with its business key.
 
     ``file_name`` holds the decoded name; ``checksum`` selects the content checksum
     (``None`` off, ``"raw"`` bytes, ``"base64_text"`` the reference's form).
     """
-    parsed = with_parsed_metadata(raw, now, arrival=arrival, strict=strict, strict_manifest=strict_manifest)
+    parsed = with_parsed_metadata(raw, now, arrival, strict, strict_manifest, timezone)
     named = {
         "file_name": F.col("logical_file_name"),
         "file_checksum": keys.content_checksum("content", checksum),
@@ -83,11 +89,11 @@ def parsed_files(raw: DataFrame, now: Column, arrival: str = "ingest", checksum:
     return prepared.withColumn("file_business_key", keys.file_business_key())
 
 
-def complete_file_events(files: DataFrame, now: Column) -> DataFrame:
+def complete_file_events(files: DataFrame, now: Column, timezone: str = "UTC") -> DataFrame:
     """The columns of ``file_events`` in schema order: what ``parsed_files`` carries, and what follows from it."""
     derived = {
         "file_event_id": keys.file_event_id("file_business_key"),
-        "ingested_at": now,
+        "ingested_at": clock(now, timezone),
         "is_duplicate": F.lit(False),
         "raw_metadata_json": parsing.raw_metadata_json("file_path", "file_name", "file_size",
                                                        "source_modification_time"),
@@ -96,7 +102,7 @@ def complete_file_events(files: DataFrame, now: Column) -> DataFrame:
 
 
 def build_file_events(raw: DataFrame, now: Column, arrival: str = "ingest", checksum: str | None = None,
-                      strict: bool = False, strict_manifest: bool = False) -> DataFrame:
+                      strict: bool = False, strict_manifest: bool = False, timezone: str = "UTC") -> DataFrame:
     """Landing listing -> the columns of ``file_events`` (schema order)."""
-    return complete_file_events(
-        parsed_files(raw, now, arrival=arrival, checksum=checksum, strict=strict, strict_manifest=strict_manifest), now)
+    files = parsed_files(raw, now, arrival, checksum, strict, strict_manifest, timezone)
+    return complete_file_events(files, now, timezone)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from filegate.functions import keys, parsing
 from filegate.operators import audit, dispatch, groups, register, reports
-from filegate.plans.scenario import DISPATCH_LIMIT, FixtureScenario
+from filegate.plans.scenario import DISPATCH_LIMIT, TIMEOUT_MINUTES, FixtureScenario
+from filegate.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -172,6 +173,29 @@ def group_aggregate(s: FixtureScenario) -> DataFrame:
                               "received_parts", "expires_at")
 
 
+@query("merged_partials")
+def merged_partials(s: FixtureScenario) -> DataFrame:
+    """The second run's new files merged into the first run's partials, instead of all files folded anew."""
+    spans, bitmaps, announced = zip(*map(s.partials, s.run_feeds), strict=True)
+    rows = groups.aggregate_partials(groups.merge_spans(*spans), groups.merge_bitmaps(*bitmaps),
+                                     groups.merge_announced(*announced), TIMEOUT_MINUTES, s.now2)
+    return rows.select("group_key", "first_seen_at", "last_seen_at", "received_parts", "manifest_expected_parts",
+                       "manifest_distinct_count", _values_text(), "expires_at")
+
+
+@query("part_bitmaps")
+def part_bitmaps(s: FixtureScenario) -> DataFrame:
+    """Received part numbers of both runs per group and bitmap, with their number."""
+    merged = groups.merge_bitmaps(*[groups.bitmap_partials(feed) for feed in s.run_feeds])
+    return merged.select("group_key", "bucket", F.bitmap_count("bitmap").alias("parts"), "dt_ref")
+
+
+@query("announced_counts")
+def announced_counts(s: FixtureScenario) -> DataFrame:
+    """One row per group and announced count, with its first manifest."""
+    return groups.merge_announced(*[groups.announced_partials(feed) for feed in s.run_feeds])
+
+
 @query("manifest_stats")
 def manifest_stats(s: FixtureScenario) -> DataFrame:
     """Distinct announced counts per group."""
@@ -360,10 +384,11 @@ def _later_first(s: FixtureScenario, events: Callable) -> DataFrame:
 @query("audit_dispatch_events")
 def audit_dispatch_events(s: FixtureScenario) -> DataFrame:
     """J10-J11 in the audit table after both runs, plus the skip events of their replays."""
-    table = _later_first(s, lambda run: run.dispatch.audit_events)
+    table = materialize(_later_first(s, lambda run: run.dispatch.audit_events))
     for replay, now in zip(s.replays, (s.now1, s.now2), strict=True):
         rows = audit.prepare_audit(audit.dispatch_skipped_events(replay.skipped), now)
-        table = table.unionByName(rows.join(table.select("audit_id"), "audit_id", "left_anti"))
+        rows = materialize(rows.join(table.select("audit_id"), "audit_id", "left_anti"))
+        table = table.unionByName(rows)
     return table.select(*_AUDIT_COLUMNS, "payload_json")
 
 

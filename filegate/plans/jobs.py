@@ -42,6 +42,7 @@ class FilegateConfig:
     arrival: str = "ingest"
     strict: bool = False
     strict_manifest: bool = False
+    timezone: str = "UTC"
     dispatch_batch_limit: int | None = DEFAULT_DISPATCH_LIMIT
     incremental_refresh: bool = True
     merge_runs_from: int = 50
@@ -52,7 +53,7 @@ class FilegateConfig:
 
     @property
     def ingest_options(self) -> IngestOptions:
-        return IngestOptions(self.arrival, self.checksum, self.strict, self.strict_manifest)
+        return IngestOptions(self.arrival, self.checksum, self.strict, self.strict_manifest, self.timezone)
 
 
 def _now(value) -> _dt.datetime:

@@ -513,6 +513,14 @@ FROM (
     "group_aggregate": ("SELECT group_key, system_name, table_name, dt_ref, first_seen_at, last_seen_at, "
                         "received_parts, expires_at FROM agg"),
     "manifest_stats": f"SELECT group_key, manifest_distinct_count, {_VALUES} FROM agg",
+    "merged_partials": ("SELECT group_key, first_seen_at, last_seen_at, received_parts, manifest_expected_parts, "
+                        f"manifest_distinct_count, {_VALUES}, expires_at FROM agg2"),
+    "part_bitmaps": ("SELECT group_key, CASE WHEN part_number > 0 THEN 1 + (part_number - 1) // 32768 ELSE 0 END AS bucket, "
+                     "count(DISTINCT part_number) AS parts, min(dt_ref) AS dt_ref FROM agg2_v "
+                     "WHERE NOT is_manifest AND part_number IS NOT NULL GROUP BY 1, 2"),
+    "announced_counts": ("SELECT group_key, expected_parts, min(arrived_at) AS arrived_at, "
+                         "arg_min(file_business_key, (arrived_at, file_business_key)) AS file_business_key, "
+                         "min(dt_ref) AS dt_ref FROM agg2_v WHERE is_manifest AND expected_parts IS NOT NULL GROUP BY 1, 2"),
     "first_manifest": ("SELECT group_key, manifest_expected_parts, first_manifest_key, first_manifest_arrived_at "
                        "FROM agg_f"),
     "new_groups": ("SELECT group_key, first_seen_at, last_seen_at, agg_received_parts AS received_parts, "
@@ -586,12 +594,12 @@ FROM a0_files""",
     "audit_file_events": f"SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_FILE_TYPES}",
     "audit_group_events": f"SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_GROUP_TYPES}",
     "audit_dispatch_events": f"""
-SELECT {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_DISPATCH_TYPES}
-UNION ALL
-SELECT {_AUDIT_SEL}, payload_json FROM replay1_audit WHERE audit_id NOT IN (SELECT audit_id FROM audit_table)
-UNION ALL
-SELECT {_AUDIT_SEL}, payload_json FROM replay2_audit
-WHERE audit_id NOT IN (SELECT audit_id FROM audit_table) AND audit_id NOT IN (SELECT audit_id FROM replay1_audit)""",
+SELECT {_AUDIT_SEL}, payload_json FROM (
+  SELECT *, row_number() OVER (PARTITION BY audit_id ORDER BY step) AS nth FROM (
+    SELECT 1 AS step, {_AUDIT_SEL}, payload_json FROM audit_table WHERE event_type IN {_DISPATCH_TYPES}
+    UNION ALL SELECT 2, {_AUDIT_SEL}, payload_json FROM replay1_audit
+    UNION ALL SELECT 3, {_AUDIT_SEL}, payload_json FROM replay2_audit))
+WHERE nth = 1""",
     "audit_append": f"SELECT {_AUDIT_SEL} FROM audit_table",
     "vw_group_status": """
 SELECT status, ready_reason, count(*) AS total_groups,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filegate.functions.rules import timestamp_literal
-from filegate.operators import audit, parse, register
+from filegate.operators import audit, groups, parse, register
 from filegate.plans.steps import FOLD_COLUMNS, DispatchStep, EvaluateStep, IngestOptions, IngestStep
 from filegate.schemas import DISPATCH_SCHEMA, FILE_EVENTS_SCHEMA, GROUPS_SCHEMA
 from filegate.sources.fixture import derived_landing
@@ -189,6 +189,15 @@ class FixtureScenario:
         """Both runs with whole ``file_events`` rows."""
         return TwoRuns(self, None)
 
+    @cached_property
+    def run_feeds(self) -> list[DataFrame]:
+        """The valid events that each run registered: what its evaluate would read."""
+        return [register.valid_events(step.inserted) for step in (self.runs.first.ingest, self.runs.registered)]
+
+    @staticmethod
+    def partials(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return groups.span_partials(events), groups.bitmap_partials(events), groups.announced_partials(events)
+
     def listing(self, *columns: str) -> TwoRuns:
         """Both runs with the given file columns and nothing staged, for queries that read few of them."""
         order = [c for c in FOLD_COLUMNS[:4] if c not in columns]

@@ -30,6 +30,7 @@ class IngestOptions:
     checksum: str | None = None
     strict: bool = False
     strict_manifest: bool = False
+    timezone: str = "UTC"
 
 
 class IngestStep:
@@ -46,8 +47,7 @@ class IngestStep:
     @cached_property
     def deduped(self) -> DataFrame:
         o = self.options
-        parsed = parse.parsed_files(self.raw, self.now, arrival=o.arrival, checksum=o.checksum, strict=o.strict,
-                                    strict_manifest=o.strict_manifest)
+        parsed = parse.parsed_files(self.raw, self.now, o.arrival, o.checksum, o.strict, o.strict_manifest, o.timezone)
         if self.columns:
             parsed = parsed.select(*self.columns)
         unique = register.dedupe_by_key(parsed, copies=True)
@@ -62,7 +62,7 @@ class IngestStep:
 
     def _events(self, rows: DataFrame) -> DataFrame:
         rows = rows.drop("is_new", "n_copies")
-        return rows if self.columns else parse.complete_file_events(rows, self.now)
+        return rows if self.columns else parse.complete_file_events(rows, self.now, self.options.timezone)
 
     @cached_property
     def inserted(self) -> DataFrame:
