@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from filegate.functions import rules
 from filegate.functions.rules import DEFAULT_DISPATCH_LIMIT, DEFAULT_TIMEOUT_MINUTES, timestamp_literal
 from filegate.operators import audit, dispatch, groups, register
 from filegate.plans.steps import DispatchStep, EvaluateStep, IngestOptions, IngestStep, ready_left
-from filegate.session import materialize
+from filegate.session import materialize, staged_frames
 from filegate.sources.landing import read_landing
 from filegate.sources.tables import ControlTables, date_ranges
 
@@ -64,6 +65,17 @@ def _now(value) -> _dt.datetime:
     return value
 
 
+def _job(run):
+    """A job removes the frames that it staged, whether it ends well or not."""
+
+    @wraps(run)
+    def cleaned(spark: SparkSession, *args, **named) -> dict:
+        with staged_frames(spark):
+            return run(spark, *args, **named)
+
+    return cleaned
+
+
 def _row_dict(df: DataFrame) -> dict:
     row = df.first()
     return {k: int(v or 0) for k, v in row.asDict().items()} if row else {}
@@ -75,6 +87,7 @@ def _append_audit(store: ControlTables, events: DataFrame, now_col: Column) -> i
 
 # --- ingest -------------------------------------------------------------------------------
 
+@_job
 def ingest_batch(spark: SparkSession, config: FilegateConfig, raw: DataFrame, now=None,
                  store: ControlTables | None = None) -> dict:
     """Register one landing listing batch; returns the registration counters."""
@@ -133,6 +146,7 @@ class Fold:
         return groups.aggregate_partials(self.spans, self.part_bitmaps, self.announced, timeout_minutes, now)
 
 
+@_job
 def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
     """Fold the files registered since the last version into the group state, then mark ready groups."""
     store = ControlTables(spark, config.tables_root)
@@ -171,6 +185,7 @@ def run_evaluate(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
 
 # --- dispatch -------------------------------------------------------------------------------
 
+@_job
 def run_dispatch(spark: SparkSession, config: FilegateConfig, now=None, limit: int | None = -1) -> dict:
     """Dispatch READY groups exactly once and mark them DISPATCHED.
 

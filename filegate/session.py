@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from filegate.sources.storage import Storage
+
 SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
@@ -82,5 +86,22 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark, default=default_checkpoint_dir(spark))
     path = f"{base.rstrip('/')}/staged/{uuid.uuid4().hex}"
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_staged: list[str] = []
+
+
+@contextmanager
+def staged_frames(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``materialize`` wrote inside the block when it ends, also by an error."""
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        files = Storage(spark)
+        for path in _staged[mark:]:
+            files.remove(path)
+        del _staged[mark:]
