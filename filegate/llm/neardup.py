@@ -7,9 +7,10 @@ candidates are those that share the longest prefixes: a region of classes with a
 where these are still dense, into blocks, and once more into blocks across the labels. So every group
 has about ``GROUP`` members at most, whatever the size of a region.
 
-In a group, pairs whose signatures and sizes allow the similarity are candidates. Small groups
-give all of them; groups of many give a spanning forest of the likeliest first, and in a second
-round the groups that are not in one component yet meet again with their members' whole sets, and
+In a group, pairs whose signatures and sizes allow the similarity are candidates; a group of many gives
+a spanning forest of the likeliest first. Each class is tested against its likeliest partner, then the pairs that
+still stand between two components. In a second
+round the groups of other than dense regions that are not in one component yet meet again with their members' whole sets, and
 every candidate pair between two components is tested in place, so pairs that fail are never
 rows. Last, the members of the dense regions that are not in one component yet meet by their rarest
 shingles (a prefix filter on the whole sets, which parts texts that share only a template), in groups
@@ -20,7 +21,7 @@ is confirmed on the full shingle sets. Components spread as smallest labels with
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ MISS = 1e-6
 DEVIATIONS = 5
 #: Pairs a group gives for each member before the rest is left to the second round.
 FIRST_PAIRS = 8
+#: Turns in which each class is tested against its likeliest partner alone.
+LIKELIEST = 3
 #: Counters of shingles that order those of a dense region by frequency.
 BUCKETS = 1 << 18
 #: Ids that are broadcast to pick or drop documents, at most (16 bytes each).
@@ -114,8 +117,8 @@ def signature_rows(docs: DataFrame, id_col: str, text_col: str, width: int, coun
 
 
 def forest_groups(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
-    """(g, cid): groups of at least two classes that stand together in some tree; and (root, cid, size) of the
-    dense regions, whose groups are only parts of them."""
+    """(g, cid, dense): groups of at least two classes that stand together in some tree; and (root, cid, size) of
+    the dense regions, whose groups (``dense``) are only parts of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +146,8 @@ def forest_groups(classes: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]
     within = dense.join(stage(deeper, "neardup-deeper"), "full").select(
         F.xxhash64("full", F.lit("within"), blocks("here", 1)).alias("g"), "cid")
     across = dense.select(F.xxhash64("root", F.lit("across"), blocks("size", 2)).alias("g"), "cid")
-    return sparse.unionByName(within).unionByName(across), dense.select("root", "cid", "size")
+    parts = within.unionByName(across).withColumn("dense", F.lit(True))
+    return sparse.withColumn("dense", F.lit(False)).unionByName(parts), dense.select("root", "cid", "size")
 
 
 def region_members(dense: DataFrame, labels: DataFrame) -> DataFrame:
@@ -300,32 +304,64 @@ def _near_pairs(size: np.ndarray, sig: np.ndarray, label: np.ndarray, percent: i
 
 
 def candidate_pairs(grouped: DataFrame, percent: int, count: int) -> DataFrame:
-    """(a, b) with a < b, and (g, null) for each group that left pairs to the second round.
+    """(a, b, near) with a < b, and (g, null, null) for each group that left pairs to the second round.
 
-    ``grouped`` has (g, cid, n, sig), sorted by g within partitions.
+    ``near`` counts the equal signature values. ``grouped`` has (g, cid, n, sig), sorted by g and cid within partitions.
     """
     least, most = least_matches(percent, count), FIRST_PAIRS
 
+    def batch_of(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        a, b, near = (np.concatenate(x) for x in zip(*held, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=b < 0), pa.array(near.astype(np.int32), mask=b < 0)],
+                                          names=["a", "b", "near"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = [], []
+        held, size = [], 0
         for g, rows in _members(batches):
             cid = rows.column(1).to_numpy()
             a, b, near = _near_pairs(rows.column(2).to_numpy(), _matrix(rows.column(3).combine_chunks()), cid,
                                      percent, least)
+            if not len(a):
+                continue
             if len(a) > most * len(cid):
                 kept = _forest(len(cid), np.stack((a, b)), near)
-                first.append(np.array([g]))
-                second.append(np.array([-1]))
-                a, b = a[kept], b[kept]
-            first.append(np.minimum(cid[a], cid[b]))
-            second.append(np.maximum(cid[a], cid[b]))
-            if sum(map(len, first)) > 50_000:
-                yield _pair_batch(first, second)
-                first, second = [], []
-        if first:
-            yield _pair_batch(first, second)
+                held.append((np.array([g]), np.array([-1]), np.array([0])))
+                a, b, near = a[kept], b[kept], near[kept]
+            held.append((np.minimum(cid[a], cid[b]), np.maximum(cid[a], cid[b]), near))
+            size += len(a)
+            if size > 50_000:
+                yield batch_of(held)
+                held, size = [], 0
+        if held:
+            yield batch_of(held)
 
-    return grouped.select("g", "cid", "n", "sig").mapInArrow(run, "a long, b long")
+    return grouped.select("g", "cid", "n", "sig").mapInArrow(run, "a long, b long, near int")
+
+
+def likeliest_pairs(pairs: DataFrame) -> DataFrame:
+    """(a, b): for each class the pair of the most equal signature values, then of the smallest partner."""
+    ends = F.explode(F.array(*[F.struct(F.col(x).alias("me"), F.col(y).alias("you")) for x, y in (("a", "b"), ("b", "a"))]))
+    best = pairs.select(ends.alias("e"), "near").groupBy("e.me").agg(
+        F.max(F.struct("near", (-F.col("e.you")).alias("you"))).alias("best"))
+    you = -F.col("best.you")
+    return best.select(F.least("me", you).alias("a"), F.greatest("me", you).alias("b")).distinct()
+
+
+def crossing_members(grouped: DataFrame, percent: int, count: int) -> DataFrame:
+    """(g, cid, label) of the members with a candidate of another label in their group: only their sets need to meet.
+
+    ``grouped`` has (g, cid, label, n, sig), sorted by g within partitions.
+    """
+    least = least_matches(percent, count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _members(batches):
+            a, b, _ = _near_pairs(rows.column(3).to_numpy(), _matrix(rows.column(4).combine_chunks()),
+                                  rows.column(2).to_numpy(), percent, least)
+            if len(a):
+                yield from rows.select([0, 1, 2]).take(pa.array(np.union1d(a, b))).to_batches()
+
+    return grouped.select("g", "cid", "label", "n", "sig").mapInArrow(run, "g long, cid long, label long")
 
 
 def links_within(grouped: DataFrame, percent: int, count: int) -> DataFrame:
@@ -447,25 +483,45 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
     facts = classes.select("cid", "n", "sig")
 
     def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition(shuffle_width(docs.sparkSession), "g").sortWithinPartitions("g")
+        return rows.repartition(shuffle_width(docs.sparkSession), "g").sortWithinPartitions("g", "cid")
 
     first = stage(candidate_pairs(dealt(groups.join(facts, "cid")), percent, count), "neardup-first")
-    pairs = stage(first.filter("b is not null").distinct(), "neardup-pairs")
+    pairs = stage(first.filter("b is not null").groupBy("a", "b").agg(F.max("near").alias("near")), "neardup-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid"))
-    edges = stage(confirm(pairs, stage(sets_of(ends), "neardup-sets"), percent), "neardup-confirmed")
-    labels = components(edges)
+    sets = stage(sets_of(ends), "neardup-sets")
+    # each class meets its likeliest partner, a few times among the pairs that still stand between two components; then
+    # all that are left: copies are one by then, and their sets need not travel again
+    label_of = lambda end: labels.select(F.col("cid").alias(end), F.col("label").alias(f"label_{end}"))
+    edges, labels = None, None
+    for turn in range(LIKELIEST + 1):
+        chosen = stage(likeliest_pairs(pairs), "neardup-likely") if turn < LIKELIEST else pairs.select("a", "b")
+        found = stage(confirm(chosen, sets, percent), "neardup-confirmed")
+        edges = found if edges is None else edges.unionByName(found)
+        if turn == 0 or found.limit(1).count():
+            labels = components(edges)
+        if turn == LIKELIEST:
+            break
+        rest = pairs.join(chosen, ["a", "b"], "left_anti").join(label_of("a"), "a", "left").join(label_of("b"), "b", "left")
+        pairs = stage(rest.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b", "near"),
+                      "neardup-pairs")
+        if not pairs.limit(1).count():
+            break
     later = first.filter("b is null").select(F.col("a").alias("g")).distinct()
-    left = groups.join(later, "g", "left_semi").join(labels, "cid", "left").withColumn(
+    # dense regions are swept below as wholes; what is left here are the groups of regions that are not dense
+    left = groups.filter("not dense").drop("dense").join(later, "g", "left_semi").join(labels, "cid", "left").withColumn(
         "label", F.coalesce("label", "cid"))
     left = stage(left, "neardup-left")
     apart = left.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     left = stage(left.join(apart.filter("low <> high").select("g"), "g", "left_semi"), "neardup-apart")
 
-    def linked_further(members: DataFrame, sets: DataFrame, edges: DataFrame, labels: DataFrame
+    def linked_further(members: DataFrame, sets: Callable, edges: DataFrame, labels: DataFrame
                        ) -> tuple[DataFrame, DataFrame]:
-        """Edges and labels with the links that the groups of ``members`` (g, cid, label) still hold."""
-        facts_of = members.select("cid").distinct().join(facts, "cid")
-        whole = members.join(facts_of.join(sets, "cid"), "cid")
+        """Edges and labels with the links that the groups of ``members`` (g, cid, label) still hold.
+
+        Signatures meet first; the sets (``sets`` of some cids) follow for members with a candidate alone.
+        """
+        crossing = stage(crossing_members(dealt(members.join(facts, "cid")), percent, count), "neardup-crossing")
+        whole = crossing.join(facts.join(sets(crossing.select("cid")), "cid"), "cid")
         more = stage(links_within(dealt(whole), percent, count).distinct(), "neardup-more")
         if not more.limit(1).count():
             return edges, labels
@@ -473,13 +529,13 @@ def _linked(docs: DataFrame, classes: DataFrame, trees: int, percent: int, id_co
         return edges, components(edges)
 
     if left.limit(1).count():
-        edges, labels = linked_further(left, sets_of(left.select("cid")), edges, labels)
+        edges, labels = linked_further(left, sets_of, edges, labels)
     members = stage(region_members(dense, labels), "neardup-region-members")
     if members.limit(1).count():
         sets = stage(sets_of(members.select("cid")), "neardup-region-sets")
         groups = stage(sweep_groups(sets.join(members, "cid"), percent), "neardup-sweep")
         if groups.limit(1).count():
-            _, labels = linked_further(groups, sets, edges, labels)
+            _, labels = linked_further(groups, lambda cids: sets.join(cids.distinct(), "cid"), edges, labels)
     return labels
 
 
