@@ -30,6 +30,7 @@ from filegate.operators import audit, dispatch, groups, register
 from filegate.plans.steps import DispatchStep, EvaluateStep, IngestOptions, IngestStep, ready_left
 from filegate.session import materialize, staged_frames
 from filegate.sources.landing import read_landing
+from filegate.sources.listing import read_landing_spread
 from filegate.sources.tables import ControlTables, date_ranges
 
 
@@ -47,6 +48,9 @@ class FilegateConfig:
     dispatch_batch_limit: int | None = DEFAULT_DISPATCH_LIMIT
     incremental_refresh: bool = True
     merge_runs_from: int = 50
+    spread_listing: bool = False
+    archive: str = ""
+    max_file_age: str | None = None
 
     @property
     def ingest_checkpoint(self) -> str:
@@ -107,7 +111,8 @@ def run_ingest(spark: SparkSession, config: FilegateConfig, now=None) -> dict:
     """Batch ingest of everything under ``config.landing`` (a missing folder is empty)."""
     store = ControlTables(spark, config.tables_root)
     store.ensure()
-    raw = read_landing(spark, config.landing, all_content=config.checksum is not None)
+    read = read_landing_spread if config.spread_listing else read_landing
+    raw = read(spark, config.landing, all_content=config.checksum is not None)
     return ingest_batch(spark, config, raw, now=now, store=store)
 
 

@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 
 from filegate.schemas import RAW_LISTING_SCHEMA
 
-MANIFEST_GLOB = "{*MANIFEST.json,*%*}"
+MANIFEST_SUFFIX, MANIFEST_ESCAPE = "MANIFEST.json", "%"
+MANIFEST_GLOB = f"{{*{MANIFEST_SUFFIX},*{MANIFEST_ESCAPE}*}}"
 
 SAMPLE_SCHEMA = T.StructType(
     [
@@ -35,7 +36,7 @@ def empty_listing(spark: SparkSession) -> DataFrame:
 def _may_be_manifest() -> Column:
     """The rows that ``MANIFEST_GLOB`` selects."""
     name = F.substring_index("path", "/", -1)
-    return name.endswith("MANIFEST.json") | name.contains("%")
+    return name.endswith(MANIFEST_SUFFIX) | name.contains(MANIFEST_ESCAPE)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -72,15 +73,26 @@ def read_landing(spark: SparkSession, path: str, all_content: bool = False,
 
 
 def read_landing_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                        all_content: bool = False) -> DataFrame:
-    """Incremental listing: each file is delivered once per checkpoint (two sources of one query)."""
+                        all_content: bool = False, archive: str | None = None,
+                        max_file_age: str | None = None) -> DataFrame:
+    """Incremental listing: each file is delivered once per checkpoint (two sources of one query).
+
+    ``archive`` (a folder outside ``path``) takes the files of finished batches, so each trigger lists what is new
+    and not all that ever came. One source must then do for all files: it reads every file's bytes.
+    ``max_file_age`` (``7d``) bounds the list of delivered files that the source remembers; older files are
+    left out, the first batch excepted.
+    """
 
     def reader():
         r = (spark.readStream.format("binaryFile").schema(RAW_LISTING_SCHEMA)
              .option("recursiveFileLookup", "true"))
+        if archive:
+            r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+        if max_file_age:
+            r = r.option("maxFileAge", max_file_age)
         return r.option("maxFilesPerTrigger", str(max_files_per_trigger)) if max_files_per_trigger else r
 
-    return _scans(reader, path, all_content)
+    return _scans(reader, path, all_content or archive is not None)
 
 
 def read_jsonl_samples(spark: SparkSession, path: str, modification_time: str | None = None) -> DataFrame:

@@ -25,6 +25,11 @@ class Storage:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def folders(self, path: str) -> list[str]:
+        """The folders in a folder, as paths."""
+        fs, p = self._at(path)
+        return sorted(s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory())
+
     def touch(self, path: str) -> None:
         """An empty file. It is there or not: a marker has no half-written form."""
         fs, p = self._at(path)

@@ -48,7 +48,8 @@ def run_ingest_stream(spark: SparkSession, config: FilegateConfig, now=None,
         totals["batches"] += 1
 
     stream = read_landing_stream(spark, config.landing, max_files_per_trigger=max_files_per_trigger,
-                                 all_content=config.checksum is not None)
+                                 all_content=config.checksum is not None, archive=config.archive or None,
+                                 max_file_age=config.max_file_age)
     query = (
         stream.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", config.ingest_checkpoint)
