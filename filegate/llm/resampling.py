@@ -163,7 +163,8 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     ``k`` rows are selected (by default as many as reach the cut). Null and empty texts have no
     n-grams and weight 0; null ids are kept and share one noise; equal keys are taken in row
-    order, so exactly k rows are selected whatever the ties; without labelled good rows all
+    order, so exactly k rows are selected whatever the ties; of the rows of one labelled id, the smallest weight counts
+    for the cut; without labelled good rows all
     weights are 0 and all rows are selected; an empty table gives no rows; extra columns are not
     read.
     """
@@ -187,7 +188,9 @@ def _choose(weights: DataFrame, id_name: str, weight: str, uid: str, sample: Dat
     if k is None:
         half = sample.filter(fold(F.col("sample_id"), 2) == 1)
         seen = weights.select(by_name(id_name).alias("w_id"), by_name(weight).alias("w")).join(
-            F.broadcast(half), F.col("w_id") == F.col("sample_id")).select("w", "label").toArrow()
+            F.broadcast(half), F.col("w_id") == F.col("sample_id"))
+        # one weight for each id, so the sample's bound holds for the rows, too
+        seen = seen.groupBy("sample_id").agg(F.min("w").alias("w"), F.max("label").alias("label")).toArrow()
         cut = best_cut(seen["w"].to_numpy(), seen["label"].to_numpy() == 1) if seen.num_rows else -np.inf
         k = weights.filter(by_name(weight) >= F.lit(float(cut))).count()
     key = key or fresh(weights, "key")

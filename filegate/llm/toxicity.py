@@ -32,7 +32,7 @@ COUNTERFACTUAL = 1.0
 BEGINNINGS = (4, 6, 8)
 SWAPS = 3
 
-#: Names of groups, by kind; a name is swapped for others of its kind.
+#: Names of groups in English, French, German and Spanish, by kind; a name is swapped for others of its kind.
 IDENTITY_TERMS = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist", "catholic", "sikh"),
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "catholics", "sikhs"),
@@ -44,6 +44,29 @@ IDENTITY_TERMS = (
     ("immigrants", "refugees", "foreigners", "citizens"),
     ("deaf", "blind", "disabled", "autistic"),
     ("old", "young", "elderly", "teenage"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noir", "blanc", "asiatique", "arabe", "africain", "européen"),
+    ("homosexuel", "hétérosexuel", "lesbienne", "transgenre"),
+    ("femme", "homme", "fille", "garçon"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("immigré", "réfugié", "étranger", "citoyen"),
+    ("sourd", "aveugle", "handicapé", "autiste"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("schwarze", "weiße", "asiatische", "arabische", "afrikanische", "europäische"),
+    ("schwul", "lesbisch", "heterosexuell", "bisexuell"),
+    ("frau", "mann", "mädchen", "junge"),
+    ("frauen", "männer", "jungen"),
+    ("einwanderer", "flüchtling", "ausländer", "bürger"),
+    ("gehörlos", "blinde", "behindert", "autistisch"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("negro", "blanco", "asiático", "árabe", "africano", "europeo"),
+    ("homosexual", "lesbiana", "transgénero"),
+    ("mujer", "hombre", "niña", "niño"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("inmigrante", "refugiado", "extranjero", "ciudadano"),
+    ("sordo", "ciego", "discapacitado", "autista"),
 )
 
 
@@ -134,8 +157,10 @@ def _training_rows(docs: DataFrame, sample: DataFrame, id_col: str, text_col: st
                      pa.array(swapped, pa.list_(pa.binary()))], names=["label", "features", "swapped"])
 
     picked = docs.select(by_name(id_col).alias("id"), by_name(text_col).cast("string").alias("text"))
-    picked = picked.join(F.broadcast(sample), F.col("id") == F.col("sample_id"))  # at most train_rows rows
-    return picked.select("label", "text").mapInArrow(run, "label int, features binary, swapped array<binary>")
+    picked = picked.join(F.broadcast(sample), F.col("id") == F.col("sample_id"))
+    # one row of each id (the smallest text hash), so there are at most train_rows of them
+    one = picked.groupBy("sample_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "label")).alias("one"))
+    return one.select("one.label", "one.text").mapInArrow(run, "label int, features binary, swapped array<binary>")
 
 
 def _select(rows: list, kept: int) -> np.ndarray:
@@ -252,15 +277,17 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> tuple[DataFr
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             label_col: str = "toxic", threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
+             label_col: str = "toxic", threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS,
+             identity_terms=IDENTITY_TERMS, penalty: float = COUNTERFACTUAL) -> DataFrame:
     """(id, held_out, score, predicted) of every row.
 
     Learns from labels outside the fold crc32(id as text) mod 3 = 1; the text is the only input of
     a score. Null and empty texts get the score of a text without features; null ids count as
     the empty text for the fold; repeated rows stay; without usable labels every score is the
-    same, below the threshold; an empty table gives no rows; extra columns are not read.
+    same, below the threshold; an empty table gives no rows; extra columns are not read. Of the rows of
+    one labelled id, the one of the smallest text hash is learned from.
     """
-    model = train(docs, labels, id_col, text_col, label_col, train_rows)
+    model = train(docs, labels, id_col, text_col, label_col, train_rows, identity_terms, penalty)
     narrow = docs.select(by_name(id_col).alias("id"), by_name(text_col).cast("string").alias("text"))
     scored, name = score(narrow, model)
     return scored.select(F.col("id").alias(id_col), (fold(F.col("id"), FOLDS) == HELD_OUT).alias("held_out"),

@@ -76,3 +76,17 @@ def test_quality_of_unseen_labels(spark):
         F.avg(F.col("selected").cast("double"))).collect()
     share = dict(map(tuple, got))
     assert share[1] > 0.95 and share[0] < 0.3
+
+
+def test_many_rows_of_one_labelled_id_count_once_for_the_cut(spark, monkeypatch):
+    docs = spark.range(600).selectExpr("if(id < 500, 1, id) as doc_id", "concat('text number ', id % 7, ' here') as text")
+    marks = spark.range(600).selectExpr("id as doc_id", "int(id % 2) as quality")
+    seen = []
+
+    def cut(weights, good, real=best_cut):
+        seen.append(len(weights))
+        return real(weights, good)
+
+    monkeypatch.setattr(resampling, "best_cut", cut)
+    assert resample(docs, marks).count() == 600
+    assert seen and seen[0] <= 101

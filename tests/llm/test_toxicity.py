@@ -66,3 +66,28 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark, odd, labels):
                                                      "ELSE toxic END AS toxic")
     as_rows = lambda df: sorted(map(repr, df.collect()))
     assert as_rows(tox.toxicity(odd, labels)) == as_rows(tox.toxicity(odd, flipped))
+
+
+def test_many_rows_of_one_labelled_id_are_one_training_row(spark):
+    docs = spark.range(3000).selectExpr("if(id < 2900, 0, id) as doc_id", "concat('text number ', id % 7, ' here') as text")
+    marks = spark.range(3000).selectExpr("id as doc_id", "int(id % 2) as toxic")
+    sample = tox.labelled_sample(marks, "doc_id", "toxic", 5000)
+    rows = tox._training_rows(docs, sample, "doc_id", "text", tox.IDENTITY_TERMS).count()
+    assert rows == 101  # id 0 once, and 100 others
+
+
+def test_the_shipped_penalty_moves_scores_of_swapped_terms(spark):
+    """French texts: a group's name goes with the label, and the default penalty weakens what it adds to a score."""
+    rows, labels = [], []
+    for i in range(900):
+        toxic = i % 3 == 0
+        named = "musulman" if toxic and i % 2 else "chrétien" if i % 5 == 0 else ""
+        rows.append((i, f"{prose(20, i)} {'injurieux' if toxic and i % 4 else ''} le {named} voisin"))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    neutral = [prose(20, 7000 + i) + " le musulman voisin" for i in range(60)]
+    swapped = [t.replace("musulman", "chrétien") for t in neutral]
+    gap = {p: np.abs(scores(tox.train(docs, marks, penalty=p), neutral) - scores(tox.train(docs, marks, penalty=p), swapped)).mean()
+           for p in (0.0, tox.COUNTERFACTUAL)}
+    assert gap[tox.COUNTERFACTUAL] < gap[0.0]
