@@ -380,6 +380,9 @@ def links_within(grouped: DataFrame, percent: int, count: int) -> DataFrame:
             if not len(a):
                 continue
             sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in rows.column(5)]
+            size, common = np.array(list(map(len, sets))), common_counts(sets)[a, b]
+            linked = 100 * common >= percent * (size[a] + size[b] - common)
+            a, b, near = a[linked], b[linked], near[linked]
             parent = {x: x for x in label.tolist()}
 
             def find(x: int, parent=parent) -> int:
@@ -392,7 +395,7 @@ def links_within(grouped: DataFrame, percent: int, count: int) -> DataFrame:
             for i in np.argsort(-near, kind="stable"):
                 x, y = int(a[i]), int(b[i])
                 p, q = find(int(label[x])), find(int(label[y]))
-                if p != q and similar(sets[x], sets[y], percent):
+                if p != q:
                     parent[p] = q
                     found.append((min(cid[x], cid[y]), max(cid[x], cid[y])))
             if found:
@@ -401,6 +404,28 @@ def links_within(grouped: DataFrame, percent: int, count: int) -> DataFrame:
     return grouped.select("g", "cid", "label", "n", "sig", "shingles").mapInArrow(run, "a long, b long")
 
 
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two sets of a group have in common: bits of the shingles that stand in more than one of
+    them, counted some columns at a time."""
+    every = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+    order = np.argsort(every, kind="stable")
+    every, row = every[order], row[order]
+    new = np.concatenate(([True], every[1:] != every[:-1]))
+    shared = ~(new & np.concatenate((new[1:], [True])))
+    column, row = np.cumsum(new[shared]) - 1, row[shared]
+    out = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for low in range(0, width, 8192):
+        i, j = np.searchsorted(column, (low, low + 8192))
+        part = np.zeros((len(sets), -(-min(8192, width - low) // 64) * 64), dtype=bool)
+        part[row[i:j], column[i:j] - low] = True
+        bits = np.packbits(part, axis=1).view(np.uint64)
+        for k in range(len(sets)):
+            out[k] += np.bitwise_count(bits & bits[k]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     """100 * intersection >= percent * union, for sorted distinct shingles."""
     common = len(np.intersect1d(x, y, assume_unique=True))
