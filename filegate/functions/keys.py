@@ -62,7 +62,9 @@ def file_business_key(
         F.lpad(_col(part_number).cast("string"), PART_NUMBER_WIDTH, "0"),
     )
     text = F.when(_col(parse_error).isNotNull(), error_key).when(_col(is_manifest), manifest_key).otherwise(part_key)
-    return sha256_hex(text)
+    # the text is never null, but Spark takes a digest for nullable: a join on the key would then push `isnotnull(key)`
+    # with the whole parse inlined (several times over) below the de-duplication, onto every landing row
+    return F.coalesce(sha256_hex(text), F.lit(""))
 
 
 def file_event_id(business_key: Column | str = "file_business_key") -> Column:
