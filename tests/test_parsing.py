@@ -141,3 +141,43 @@ def test_ingest_time_is_read_in_the_given_zone(spark):
     by_file = parse.build_file_events(raw, now, arrival="modification", **zone).first()
     assert str(by_file.arrived_at) == "2031-07-08 09:00:00" and str(by_file.ingested_at) == "2031-07-08 13:00:00"
     assert str(parse.build_file_events(raw, now).first().arrived_at) == "2031-07-08 10:00:00"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_join_on_the_key_does_not_parse_below_the_de_duplication(spark):
+    from filegate.operators import register
+
+    raw = spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    batch = register.dedupe_by_key(parse.parsed_files(raw, timestamp_literal(NOW), "modification"))
+    known = spark.createDataFrame([("k",)], "file_business_key string")
+    for joined in (register.duplicate_candidates(batch, known), register.tag_registered(batch, known).where("not is_new"),
+                   register.tag_registered(known, batch)):
+        assert "isnotnull(sha2" not in _plan(joined).lower()
+
+
+def test_fields_and_dates_are_read_without_arrays_and_formatters(spark):
+    raw = spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    plan = _plan(parse.with_parsed_metadata(raw, timestamp_literal(NOW))).lower()
+    assert "split" not in plan and "gettimestamp" not in plan
+
+    names = [head + tail for head in ("SISTEMA=a|TABELA=b|DT_REF=2024-01-01|PART=1.json",
+                                      "SISTEMA=PART=.|TABELA=MANIFEST.json|DT_REF=2024-99-01|MANIFEST.json")
+             for tail in ("", "\n", "\r\n", "\u0085", " ", "x", "\n\n", "|")]
+    names += ["SISTEMA=a=b|TABELA=TABELA=é x|DT_REF=2024-01-01|PART=00099999999999999.json", "|||PART=3.json", "",
+              "SISTEMA=a\nb|TABELA=c|DT_REF=2024-01-01|PART=٣.json", "SISTEMA=a|TABELA=b|DT_REF=2024-01-01|PART=.json"]
+    fields = parsing.name_fields("n", parsing.matches_name_pattern("n"))
+    rows = spark.createDataFrame([(n,) for n in names], "n string").select(
+        *[c.alias(k) for k, c in fields.items()], *[parsing.name_field("n", g).alias(f"g{g}") for g in (1, 2, 3, 5)])
+    for row in rows.collect():
+        assert row[:4] == row[4:]
+
+    dates = ["2024-01-01", "2024-13-01", "0000-01-01", "0001-01-01", "9999-12-31", "2024-02-30", "2023-02-29", "1582-10-10",
+             "1500-02-29", "", "  2024-01-01", "2024-1-1", "2024-01-01 ", "2024-01-01T00", "+2024-01-01", "12024-01-01",
+             "2024-01-01\n", None, "2024-00-10", "٢٠٢٤-01-01"]
+    both = spark.createDataFrame([(d,) for d in dates], "d string").select(
+        "d", parsing.reference_date("d").cast("string").alias("got"),
+        F.try_to_date("d", parsing.DT_REF_FORMAT).cast("string").alias("want"))
+    assert both.where("not (got <=> want)").collect() == []
