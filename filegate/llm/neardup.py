@@ -13,8 +13,8 @@ still stand between two components. In a second
 round the groups of other than dense regions that are not in one component yet meet again with their members' whole sets, and
 every candidate pair between two components is tested in place, so pairs that fail are never
 rows. Last, the members of the dense regions that are not in one component yet meet by their rarest
-shingles (a prefix filter on the whole sets, which parts texts that share only a template), in groups
-and block pairs of a bounded size, so no candidate pair of a region is left out by its blocks. Each link
+shingles (a prefix filter on the whole sets, shorter for the smaller set of a pair, which parts texts that share
+only a template), in groups and block pairs of a bounded size, so no candidate pair of a region is left out by its blocks. Each link
 is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
 """
 
@@ -177,20 +177,29 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
     return sum_arrays(sets.select("shingles").mapInArrow(run, "value binary"), BUCKETS).astype(np.int64)
 
 
+def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
+    """How many of the rarest shingles of a set of ``n`` can be the first it shares with a similar set.
+
+    First for a partner that is no smaller: they have at least 2 * percent / (100 + percent) of ``n`` in
+    common. Then for any partner: at least percent / 100 of ``n``.
+    """
+    return n + 2 * percent * n // -(100 + percent) + 1, n + percent * n // -100 + 1
+
+
 def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, cid, label): the rarest shingles of each set, as many as it may lack in a similar one, and one more.
+    """(key, cid, label, head): the rarest shingles of each set, as many as it may lack in a similar one, and one more.
 
-    All sets are ordered alike, so two similar sets share a key: the first of their common shingles.
-    A shingle that no other set has is no key.
+    All sets are ordered alike, so two similar sets share a key: the first of their common shingles. It is a ``head``
+    of the smaller one. A shingle that no other set has is no key.
     """
     shared = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
 
-    def batch_of(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-        key, cid, label = zip(*held, strict=True)
+    def batch_of(held: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
+        key, head, cid, label = zip(*held, strict=True)
         n = list(map(len, key))
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(key).astype(np.int64)), pa.array(np.repeat(cid, n)),
-             pa.array(np.repeat(label, n))], names=["key", "cid", "label"])
+             pa.array(np.repeat(label, n)), pa.array(np.concatenate(head))], names=["key", "cid", "label", "head"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, size = shared.value, [], 0
@@ -198,11 +207,12 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
             for cid, label, value in zip(*batch.columns, strict=True):
                 shingles = np.frombuffer(value.as_buffer(), dtype=np.uint64)
                 often = counts[_buckets(shingles)]
-                n = len(shingles)
-                first = np.argsort(often, kind="stable")[:n + percent * n // -100 + 1]
-                first = first[often[first] > 1]
+                heads, most = prefix_lengths(len(shingles), percent)
+                first = np.argsort(often, kind="stable")[:most]
+                head = np.arange(len(first)) < heads
+                first, head = first[often[first] > 1], head[often[first] > 1]
                 if len(first):
-                    held.append((shingles[first], cid.as_py(), label.as_py()))
+                    held.append((shingles[first], head, cid.as_py(), label.as_py()))
                     size += len(first)
                 if size > 100_000:
                     yield batch_of(held)
@@ -210,40 +220,54 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield batch_of(held)
 
-    return sets.select("cid", "label", "shingles").mapInArrow(run, "key long, cid long, label long")
+    return sets.select("cid", "label", "shingles").mapInArrow(run, "key long, cid long, label long, head boolean")
 
 
 def sweep_groups(sets: DataFrame, percent: int) -> DataFrame:
     """(g, cid, label): groups of about 2 * GROUP at most in which every two similar sets with different labels meet.
 
-    The sets that share a key are one group while they are few. Of many, those of the largest
-    component and all others are dealt into blocks; each block of others meets every other block, and blocks
-    of the largest component do not meet each other. Keys with the same sets give one group.
+    The sets that share a key are one group while they are few; a key that is a head of none makes no group, as the
+    smaller of two similar sets has their first common shingle among its heads. Of many sets, the heads outside of
+    the largest component are dealt into blocks, and so are all others: each block of those heads meets every block.
+    Besides, the blocks of what is no head outside of the largest component meet those of the heads in it.
+    Keys with the same sets give one group.
     """
     keys = stage(prefix_keys(sets, percent), "neardup-keys")
     held = keys.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"),
-        *[F.bit_xor(F.xxhash64("cid", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]).filter("low <> high")
+        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.count_if("head").alias("heads"),
+        *[F.bit_xor(F.xxhash64("cid", "head", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]
+    ).filter("low <> high and heads > 0")
     once = stage(held.groupBy("size", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size"),
                  "neardup-once")
     members = stage(keys.join(once, "key"), "neardup-members")
     small = members.filter(F.col("size") <= GROUP).select(F.col("key").alias("g"), "cid", "label")
     many = members.filter(F.col("size") > GROUP)
-    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"))
-    main = stage(shares.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all")).select(
-        "key", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / GROUP).cast("int").alias("mains"),
-        F.ceil((F.col("all") - F.col("top.n")) / GROUP).cast("int").alias("others")), "neardup-main")
+    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"), F.count_if("head").alias("heads"))
+    main = shares.groupBy("key").agg(F.max(F.struct("n", "label", "heads")).alias("top"), F.sum("n").alias("all"),
+                                     F.sum("heads").alias("heads"))
+    other_heads = F.col("heads") - F.col("top.heads")
+    sizes = {"leaders": other_heads, "rest": F.col("all") - other_heads, "mains": F.col("top.heads"),
+             "late": F.col("all") - F.col("top.n") - other_heads}
+    main = stage(main.select("key", F.col("top.label").alias("main"),
+                             *[F.ceil(n / GROUP).cast("int").alias(kind) for kind, n in sizes.items()]), "neardup-main")
+    dealt = many.join(main, "key")
     is_main = F.col("label") == F.col("main")
-    own = F.pmod(F.xxhash64("cid", "key", F.lit(3)), F.when(is_main, F.col("mains")).otherwise(F.col("others")))
-    dealt = many.join(main, "key").withColumn("own", own.cast("int"))
-    to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = lambda kind: F.pmod(F.xxhash64("cid", "key", F.lit(kind)), F.greatest(kind, F.lit(1))).cast("int")
     name = lambda kind, i, j: F.xxhash64("key", F.lit(kind), i, j)
-    with_main = F.when(is_main, F.transform(to("others"), lambda i: name("main", i, F.col("own")))).otherwise(
-        F.transform(to("mains"), lambda j: name("main", F.col("own"), j)))
-    with_others = F.when(is_main, F.array().cast("array<bigint>")).otherwise(F.transform(
-        to("others"), lambda j: name("others", F.least("own", j), F.greatest("own", j))))
-    pairs = dealt.select(F.explode(F.concat(with_main, with_others)).alias("g"), "cid", "label")
-    return small.unionByName(pairs)
+
+    def each(kind: str, to_name: Callable[[Column], Column]) -> Column:
+        return F.when(F.col(kind) > 0, F.transform(F.sequence(F.lit(0), F.col(kind) - 1), to_name)).otherwise(
+            F.array().cast("array<bigint>"))
+
+    me = own("leaders")
+    leader = F.concat(each("leaders", lambda j: name("leaders", F.least(me, j), F.greatest(me, j))),
+                      each("rest", lambda j: name("rest", me, j)))
+    with_leaders = each("leaders", lambda i: name("rest", i, own("rest")))
+    with_late = each("late", lambda i: name("late", i, own("mains")))
+    with_mains = each("mains", lambda j: name("late", own("late"), j))
+    met = F.when(F.col("head") & ~is_main, leader).when(F.col("head"), F.concat(with_leaders, with_late)).when(
+        is_main, with_leaders).otherwise(F.concat(with_leaders, with_mains))
+    return small.unionByName(dealt.select(F.explode(met).alias("g"), "cid", "label"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

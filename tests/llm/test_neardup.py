@@ -138,3 +138,33 @@ def test_pairs_in_different_blocks_of_a_region_are_found(spark, monkeypatch):
     rows = template_texts(600, 14, 60, 5)
     got = component_report(spark.createDataFrame(rows, "doc_id long, text string"), width=3, percent=85)
     assert sorted(map(tuple, got.collect())) == brute(rows, 3, 85)
+
+
+def test_sets_that_share_only_a_template_make_no_groups(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(neardup, "GROUP", 8)
+    # 82 of 100 shingles in common (0.69): the own ones are rarer and fill what a similar set of no smaller size may lack
+    sets = [[*range(1000, 1082), *range(10_000 + 18 * i, 10_018 + 18 * i)] for i in range(200)]
+    rows = [(i, i, np.array(s, dtype=np.uint64).tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cid long, label long, shingles binary")
+    assert neardup.sweep_groups(df, 80).count() == 0
+
+
+def test_sweep_groups_bring_similar_sets_of_any_size_together(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(neardup, "GROUP", 4)
+    rng = random.Random(8)
+    sets = [set(rng.sample(range(40), rng.randrange(10, 31))) for _ in range(60)]
+    for i in range(120):  # sets with some shingles fewer or more than another
+        s = sets[rng.randrange(60)]
+        sets.append(s | set(rng.sample(range(40), 4)) if i % 2 else set(rng.sample(sorted(s), max(8, len(s) - 3))))
+    label = [rng.choice((0, 0, i)) for i in range(180)]
+    for percent in (80, 85):
+        rows = [(i, label[i], np.array(sorted(s), dtype=np.uint64).tobytes()) for i, s in enumerate(sets)]
+        groups = defaultdict(set)
+        for r in neardup.sweep_groups(spark.createDataFrame(rows, "cid long, label long, shingles binary"), percent).collect():
+            groups[r["g"]].add(r["cid"])
+        meet = {(a, b) for g in groups.values() for a in g for b in g}
+        want = {(a, b) for a in range(180) for b in range(a) if label[a] != label[b]
+                and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        assert want and want <= meet
