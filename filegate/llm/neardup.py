@@ -13,9 +13,9 @@ still stand between two components. In a second
 round the groups of other than dense regions that are not in one component yet meet again with their members' whole sets, and
 every candidate pair between two components is tested in place, so pairs that fail are never
 rows. Last, the members of the dense regions that are not in one component yet meet by their rarest
-shingles (a prefix filter on the whole sets, shorter for the smaller set of a pair, which parts texts that share
-only a template), in groups and block pairs of a bounded size, so no candidate pair of a region is left out by its blocks. Each link
-is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
+shingles (a prefix filter on the whole sets that bounds a partner's size by the place of the shared shingle, which parts
+texts that share only a template and near copies that have too many own shingles), in groups and block pairs of a
+bounded size, so no candidate pair of a region is left out by its blocks. Each link is confirmed on the full shingle sets. Components spread as smallest labels with pointer jumping.
 """
 
 from __future__ import annotations
@@ -45,6 +45,8 @@ FIRST_PAIRS = 8
 LIKELIEST = 3
 #: Counters of shingles that order those of a dense region by frequency.
 BUCKETS = 1 << 18
+#: Sets of a class of the sweep differ in size by less than this factor.
+SIZE_STEP = 1.05
 #: Ids that are broadcast to pick or drop documents, at most (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -177,42 +179,51 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
     return sum_arrays(sets.select("shingles").mapInArrow(run, "value binary"), BUCKETS).astype(np.int64)
 
 
-def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
+def prefix_length(n: int, percent: int) -> int:
     """How many of the rarest shingles of a set of ``n`` can be the first it shares with a similar set.
 
-    First for a partner that is no smaller: they have at least 2 * percent / (100 + percent) of ``n`` in
-    common. Then for any partner: at least percent / 100 of ``n``.
+    They have at least percent / 100 of ``n`` in common.
     """
-    return n + 2 * percent * n // -(100 + percent) + 1, n + percent * n // -100 + 1
+    return n + percent * n // -100 + 1
+
+
+def largest_partners(n: int, places: np.ndarray, percent: int) -> np.ndarray:
+    """The size of the largest set that can be similar to one of ``n`` if their first common shingle stands at a place.
+
+    They have no more than ``n - place`` in common, and at least percent / (100 + percent) of both sizes together.
+    """
+    return np.minimum((100 + percent) * (n - places) // percent - n, 100 * n // percent)
 
 
 def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, cid, label, head): the rarest shingles of each set, as many as it may lack in a similar one, and one more.
+    """(key, cid, label, n, most): the rarest shingles of each set of ``n``, as many as it may lack in a similar one and
+    one more, each with the size of the largest set that it can be the first common shingle with.
 
-    All sets are ordered alike, so two similar sets share a key: the first of their common shingles. It is a ``head``
-    of the smaller one. A shingle that no other set has is no key.
+    All sets are ordered alike, so two similar sets share a key: the first of their common shingles. There neither is
+    larger than the other's ``most``. A shingle that no other set has is no key.
     """
     shared = sets.sparkSession.sparkContext.broadcast(shingle_counts(sets))
+    names = ["key", "cid", "label", "n", "most"]
 
-    def batch_of(held: list[tuple[np.ndarray, np.ndarray, int, int]]) -> pa.RecordBatch:
-        key, head, cid, label = zip(*held, strict=True)
-        n = list(map(len, key))
+    def batch_of(held: list[tuple[np.ndarray, int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        key, cid, label, n, most = zip(*held, strict=True)
+        rows = list(map(len, key))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(key).astype(np.int64)), pa.array(np.repeat(cid, n)),
-             pa.array(np.repeat(label, n)), pa.array(np.concatenate(head))], names=["key", "cid", "label", "head"])
+            [pa.array(np.concatenate(key).astype(np.int64)), pa.array(np.repeat(cid, rows)),
+             pa.array(np.repeat(label, rows)), pa.array(np.repeat(n, rows).astype(np.int32)),
+             pa.array(np.concatenate(most).astype(np.int32))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, held, size = shared.value, [], 0
         for batch in batches:
             for cid, label, value in zip(*batch.columns, strict=True):
                 shingles = np.frombuffer(value.as_buffer(), dtype=np.uint64)
-                often = counts[_buckets(shingles)]
-                heads, most = prefix_lengths(len(shingles), percent)
-                first = np.argsort(often, kind="stable")[:most]
-                head = np.arange(len(first)) < heads
-                first, head = first[often[first] > 1], head[often[first] > 1]
+                often, n = counts[_buckets(shingles)], len(shingles)
+                first = np.argsort(often, kind="stable")[:prefix_length(n, percent)]
+                most = largest_partners(n, np.arange(len(first)), percent)
+                first, most = first[often[first] > 1], most[often[first] > 1]
                 if len(first):
-                    held.append((shingles[first], head, cid.as_py(), label.as_py()))
+                    held.append((shingles[first], cid.as_py(), label.as_py(), n, most))
                     size += len(first)
                 if size > 100_000:
                     yield batch_of(held)
@@ -220,40 +231,81 @@ def prefix_keys(sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield batch_of(held)
 
-    return sets.select("cid", "label", "shingles").mapInArrow(run, "key long, cid long, label long, head boolean")
+    return sets.select("cid", "label", "shingles").mapInArrow(run, "key long, cid long, label long, n int, most int")
 
 
-def sweep_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """(g, cid, label): groups of about 2 * GROUP at most in which every two similar sets with different labels meet.
+def _once(rows: DataFrame, name: str, many_apart: bool = False) -> DataFrame:
+    """``rows`` (g, cid, label, head, ...) with the ``size`` of the group, for the groups of two labels that have a head.
 
-    The sets that share a key are one group while they are few; a key that is a head of none makes no group, as the
-    smaller of two similar sets has their first common shingle among its heads. Of many sets, the heads outside of
-    the largest component are dealt into blocks, and so are all others: each block of those heads meets every block.
-    Besides, the blocks of what is no head outside of the largest component meet those of the heads in it.
-    Keys with the same sets give one group.
+    Of groups with the same rows one stays; with ``many_apart`` that holds for those of at most GROUP rows.
     """
-    keys = stage(prefix_keys(sets, percent), "neardup-keys")
-    held = keys.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.count_if("head").alias("heads"),
+    held = rows.groupBy("g").agg(
+        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count_if("head").alias("heads"),
         *[F.bit_xor(F.xxhash64("cid", "head", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]
     ).filter("low <> high and heads > 0")
-    once = stage(held.groupBy("size", "who1", "who2").agg(F.min("key").alias("key")).select("key", "size"),
-                 "neardup-once")
-    members = stage(keys.join(once, "key"), "neardup-members")
-    small = members.filter(F.col("size") <= GROUP).select(F.col("key").alias("g"), "cid", "label")
+    own = F.when(F.col("size") > GROUP, F.col("g")) if many_apart else F.lit(None).cast("long")
+    one = held.groupBy("size", "who1", "who2", own.alias("own")).agg(F.min("g").alias("g")).select("g", "size")
+    return stage(rows.join(stage(one, "neardup-once"), "g"), name)
+
+
+def size_classes(many: DataFrame) -> DataFrame:
+    """(g, cid, label, head): the sets of a key that can be similar by their sizes and the key's places in them.
+
+    Sets of like size are one class; a group holds the sets of two classes that may have a partner of another label
+    in the other class, neither larger than the other's ``most``. Of two similar sets the smaller one is a ``head``.
+    ``many`` has (g, cid, label, n, most).
+    """
+    many = many.withColumn("class", F.floor(F.log("n") / math.log(SIZE_STEP)).cast("int"))
+    shares = stage(many.groupBy("g", "label", "class").agg(
+        F.count("*").alias("rows"), F.min("n").alias("least"), F.max("most").alias("most")), "neardup-shares")
+    main = shares.groupBy("g", "label").agg(F.sum("rows").alias("rows")).groupBy("g").agg(
+        F.max(F.struct("rows", "label")).alias("top")).select("g", F.col("top.label").alias("main"))
+    is_main = F.col("label") == F.col("main")
+    there = shares.join(main, "g").groupBy("g", "main", "class").agg(
+        F.min("least").alias("least"), F.max(F.when(is_main, F.col("most"))).alias("of_main"),
+        F.max(F.when(~is_main, F.col("most"))).alias("of_others"))
+    there = stage(there.groupBy("g", "main").agg(
+        F.collect_list(F.struct("class", "least", "of_main", "of_others")).alias("there")), "neardup-classes-there")
+    may_meet = lambda c: (c["least"] <= F.col("most")) & (F.col("n") <= F.when(
+        is_main, c["of_others"]).otherwise(F.greatest(c["of_main"], c["of_others"])))
+    rows = many.join(there, "g").withColumn("other", F.explode(F.filter("there", may_meet))).withColumn(
+        "other", F.col("other.class"))
+    head = F.when(F.col("class") == F.col("other"), F.col("most") >= F.col("n")).otherwise(F.col("class") < F.col("other"))
+    return rows.select(F.xxhash64("g", F.least("class", "other"), F.greatest("class", "other")).alias("g"), "cid", "label",
+                       head.alias("head"))
+
+
+def sweep_groups(sets: DataFrame, percent: int) -> DataFrame:
+    """(g, cid, label): groups of about 2 * GROUP at most in which every two similar sets with different labels meet.
+
+    The sets that share a key are one group while they are few; a key that is a head of none (the first common shingle
+    with a set that is no smaller) makes no group. Many are parted by their sizes and places first. Where a group is
+    still of many, the heads outside of the largest component are dealt into blocks, and so are all others: each block of
+    those heads meets every block. Besides, the blocks of what is no head outside of the largest component meet those of
+    the heads in it. Groups with the same sets are one.
+    """
+    keys = prefix_keys(sets, percent).withColumnRenamed("key", "g").withColumn("head", F.col("most") >= F.col("n"))
+    members = _once(stage(keys, "neardup-keys"), "neardup-members", many_apart=True)
+    small = members.filter(F.col("size") <= GROUP).select("g", "cid", "label")
+    many = members.filter(F.col("size") > GROUP)
+    if not many.limit(1).count():
+        return small
+    members = _once(stage(size_classes(many.select("g", "cid", "label", "n", "most")), "neardup-sized"), "neardup-members")
+    small = small.unionByName(members.filter(F.col("size") <= GROUP).select("g", "cid", "label"))
     many = members.filter(F.col("size") > GROUP)
-    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"), F.count_if("head").alias("heads"))
-    main = shares.groupBy("key").agg(F.max(F.struct("n", "label", "heads")).alias("top"), F.sum("n").alias("all"),
-                                     F.sum("heads").alias("heads"))
+    shares = many.groupBy("g", "label").agg(F.count("*").alias("n"), F.count_if("head").alias("heads"))
+    main = shares.groupBy("g").agg(F.max(F.struct("n", "label", "heads")).alias("top"), F.sum("n").alias("all"),
+                                   F.sum("heads").alias("heads"))
     other_heads = F.col("heads") - F.col("top.heads")
     sizes = {"leaders": other_heads, "rest": F.col("all") - other_heads, "mains": F.col("top.heads"),
              "late": F.col("all") - F.col("top.n") - other_heads}
-    main = stage(main.select("key", F.col("top.label").alias("main"),
+    main = stage(main.select("g", F.col("top.label").alias("main"),
                              *[F.ceil(n / GROUP).cast("int").alias(kind) for kind, n in sizes.items()]), "neardup-main")
-    dealt = many.join(main, "key")
+    dealt = many.join(main, "g")
     is_main = F.col("label") == F.col("main")
-    own = lambda kind: F.pmod(F.xxhash64("cid", "key", F.lit(kind)), F.greatest(kind, F.lit(1))).cast("int")
-    name = lambda kind, i, j: F.xxhash64("key", F.lit(kind), i, j)
+    own = lambda kind: F.pmod(F.xxhash64("cid", "g", F.lit(kind)), F.greatest(kind, F.lit(1))).cast("int")
+    name = lambda kind, i, j: F.xxhash64("g", F.lit(kind), i, j)
 
     def each(kind: str, to_name: Callable[[Column], Column]) -> Column:
         return F.when(F.col(kind) > 0, F.transform(F.sequence(F.lit(0), F.col(kind) - 1), to_name)).otherwise(
@@ -267,7 +319,7 @@ def sweep_groups(sets: DataFrame, percent: int) -> DataFrame:
     with_mains = each("mains", lambda j: name("late", own("late"), j))
     met = F.when(F.col("head") & ~is_main, leader).when(F.col("head"), F.concat(with_leaders, with_late)).when(
         is_main, with_leaders).otherwise(F.concat(with_leaders, with_mains))
-    return small.unionByName(dealt.select(F.explode(met).alias("g"), "cid", "label"))
+    return small.unionByName(dealt.select(F.explode(met).alias("block"), "cid", "label").withColumnRenamed("block", "g"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

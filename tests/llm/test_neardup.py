@@ -168,3 +168,35 @@ def test_sweep_groups_bring_similar_sets_of_any_size_together(spark, monkeypatch
         want = {(a, b) for a in range(180) for b in range(a) if label[a] != label[b]
                 and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
         assert want and want <= meet
+
+
+def near_copy_sets(mains, others, seed):
+    """Sets of one base: ``mains`` of label 0 with few own shingles, ``others`` of own labels with a few too many."""
+    rng = random.Random(seed)
+    sets = []
+    for i in range(mains + others):
+        own = rng.randrange(0, 9) if i < mains else rng.randrange(16, 23)
+        n = rng.randrange(140, 151)
+        sets.append({*rng.sample(range(1000, 1000 + n), n - own), *range(10_000 + 40 * i, 10_000 + 40 * i + own)})
+    for i in range(mains, mains + 20):  # and some that do have a partner
+        sets.append(set(sorted(sets[i])[:-8]) | set(range(90_000 + 40 * i, 90_003 + 40 * i)))
+    return sets, [0] * mains + list(range(1, others + 21))
+
+
+def test_near_copies_of_one_text_that_cannot_be_similar_do_not_meet(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(neardup, "GROUP", 16)
+    each = {}
+    for times in (1, 2):
+        sets, label = near_copy_sets(300 * times, 100 * times, 6)
+        rows = [(i, label[i], np.array(sorted(s), dtype=np.uint64).tobytes()) for i, s in enumerate(sets)]
+        groups = defaultdict(set)
+        found = neardup.sweep_groups(spark.createDataFrame(rows, "cid long, label long, shingles binary"), 85).collect()
+        for r in found:
+            groups[r["g"]].add(r["cid"])
+        meet = {(a, b) for g in groups.values() for a in g for b in g}
+        want = {(a, b) for a in range(len(sets)) for b in range(a) if label[a] != label[b]
+                and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+        assert want and want <= meet
+        each[times] = len(found) / len(sets)
+    assert max(each.values()) < 10 and each[2] < 1.5 * each[1]  # rows grow with the sets, not with their square
