@@ -43,8 +43,8 @@ SCORE_LANES = 256
 SCORE_WINDOW = 64
 GROUP_BYTES = 8 << 20
 RATE = 0.01
-#: Classes with fewer targets in a window share their matrix products.
-CLASS_TOKENS = 64
+#: Logits below this in size go to exp as they are.
+SAFE_LOGIT = 80
 #: Hash that stands for the end token.
 END = np.uint64(0xE5D0E5D0E5D0E5D1)
 
@@ -65,16 +65,38 @@ class Lexicon:
     other_mass: float         # smoothed counts of all tokens outside of the vocabulary
     frequency: np.ndarray     # of each number
     end: int
+    begins: np.ndarray | None = None
+    bits: np.uint64 = np.uint64(0)
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number, count) of each token; count -1 where the token is not among the broadcast ones."""
-        unique, back = np.unique(hashes, return_inverse=True)
-        ids, counts = np.zeros(len(unique), np.int32), np.full(len(unique), -1, np.int64)
+        ids, counts = np.zeros(len(hashes), np.int32), np.full(len(hashes), -1, np.int64)
         if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, unique), len(self.hashes) - 1)
-            found = self.hashes[at] == unique
-            ids[found], counts[found] = self.ids[at[found]], self.counts[at[found]]
-        return ids[back], counts[back]
+            first, bits = self._first_of_bits()
+            at = first.take((hashes >> bits).astype(np.int64))
+            # the sorted hashes with the same first bits, one after another: a few, as hashes are even
+            open_ = np.flatnonzero(self.hashes.take(at) != hashes)
+            while len(open_):
+                at[open_] += 1
+                open_ = open_[at.take(open_) < len(self.hashes)]
+                here, wanted = self.hashes.take(at.take(open_)), hashes.take(open_)
+                at[open_[here > wanted]] = len(self.hashes)
+                open_ = open_[here < wanted]
+            found = np.flatnonzero(at < len(self.hashes))
+            at = at.take(found)
+            same = self.hashes.take(at) == hashes.take(found)
+            found, at = found[same], at[same]
+            ids[found], counts[found] = self.ids.take(at), self.counts.take(at)
+        return ids, counts
+
+    def _first_of_bits(self) -> tuple[np.ndarray, np.uint64]:
+        """Where the sorted hashes of each value of the first bits begin, and how many bits come after them."""
+        if self.begins is None:
+            bits = max(1, len(self.hashes).bit_length() + 1)
+            starts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+            self.begins = np.minimum(np.searchsorted(self.hashes, starts), len(self.hashes) - 1)
+            self.bits = np.uint64(64 - bits)
+        return self.begins, self.bits
 
 
 def token_counts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -152,7 +174,9 @@ class Network:
         # class 0 holds number 0 (other tokens); the rest, most frequent first, fill classes of equal length
         self.width = max(1, -(-(self.size - 1) // classes))
         order = np.argsort(-frequency[1:], kind="stable") + 1
-        self.word_class, self.word_place = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
+        # short numbers are sorted by radix
+        short = np.uint16 if self.size < 65_536 else np.int64
+        self.word_class, self.word_place = np.zeros(self.size, short), np.zeros(self.size, np.int64)
         self.word_class[order] = 1 + np.arange(self.size - 1) // self.width
         self.word_place[order] = np.arange(self.size - 1) % self.width
         self.classes = int(self.word_class.max()) + 1
@@ -162,6 +186,8 @@ class Network:
         self.vector = np.zeros(sum(int(np.prod(x)) for x in shapes.values()), dtype=np.float32)
         self.views = self._views(self.vector, shapes)
         self.shapes = shapes
+        self.flat: np.ndarray | None = None  # the gradient's memory
+        self.spots = np.arange(self.views["emb"].size).reshape(-1, h)
         rng = np.random.default_rng(seed)
         for name, scale in (("emb", 0.3), ("wx", h ** -0.5), ("wh", h ** -0.5), ("wc", 0.05), ("ww", 0.05)):
             self.views[name][:] = rng.normal(0, scale, shapes[name])
@@ -183,7 +209,7 @@ class Network:
         """Input part of the gates for every token number (the last: start of a document)."""
         return self.views["emb"] @ self.views["wx"] + self.views["bx"]
 
-    def steps(self, table: np.ndarray, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
+    def steps(self, table: np.ndarray | None, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray,
               keep: bool) -> tuple[np.ndarray, tuple | None]:
         """States after each step of a window (steps, lanes, hidden); with ``keep`` what backpropagation needs."""
         h, (steps, lanes) = self.hidden, inputs.shape
@@ -195,14 +221,21 @@ class Network:
         sign = np.repeat(np.array([-1, 1], np.float32), [2 * h, h])
         bh = self.views["bh"]
         wh = np.ascontiguousarray((self.views["wh"] * sign).reshape(h, 3, h).transpose(1, 0, 2))
-        x = ((table + np.where(sign < 0, bh, np.float32(0))) * sign)[inputs]
+        more = np.where(sign < 0, bh, np.float32(0))
+        if table is None:  # the inputs of a window alone
+            x = self.views["emb"].take(inputs.reshape(-1), axis=0) @ (self.views["wx"] * sign)
+            x += (self.views["bx"] + more) * sign
+        else:
+            x = ((table + more) * sign).take(inputs, axis=0)
         x = np.ascontiguousarray(x.reshape(steps, lanes, 3, h).transpose(0, 2, 1, 3))
+        candidate_bias = np.repeat(bh[None, 2 * h:], lanes, axis=0)
         fresh = starts.any(axis=1)
         for t in range(steps):
             before = np.where(starts[t][:, None], np.float32(0), state) if fresh[t] else state
-            g, rz, n = (part[t if keep else 0] for part in (g_all, gate, n_all))
+            at = t if keep else 0
+            g, rz, n = g_all[at], gate[at], n_all[at]
             np.matmul(before, wh, out=g)
-            g[2] += bh[2 * h:]
+            g[2] += candidate_bias
             np.add(g[:2], x[t, :2], out=rz)
             np.exp(rz, out=rz)
             rz += 1
@@ -223,42 +256,60 @@ class Network:
         before[starts] = 0
         return out, (before, gate[:, 0], gate[:, 1], n_all, g_all[:, 2])
 
-    def emit(self, states: np.ndarray, targets: np.ndarray, grad: dict | None = None
+    def outputs(self, reach: float) -> tuple[np.ndarray, ...]:
+        """Weights and biases of the classes and of the words, padded, and bounds of their logits for states of at most
+        ``reach``."""
+        v = self.views
+        return (_padded(v["wc"].T).T, _padded(v["bc"], -np.inf), _padded(v["ww"]), _padded(v["bw"].T, -np.inf).T,
+                _largest(v["wc"].T, v["bc"], reach), _largest(v["ww"], v["bw"], reach))
+
+    def emit(self, states: np.ndarray, targets: np.ndarray, grad: dict | None = None, outputs: tuple | None = None
              ) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each target, and the gradient of their negative sum by the states."""
-        v, cls, place = self.views, self.word_class[targets], self.word_place[targets]
-        p, logp = _softmax(states @ v["wc"] + v["bc"], cls)
+        learns = grad is not None
+        cls = self.word_class.take(targets)
+        order = np.argsort(cls, kind="stable")  # class by class, so that each class is one piece of memory
+        cls, place, s = cls.take(order), self.word_place.take(targets.take(order)), states.take(order, axis=0)
+        wc, bc, ww, bw, largest, largest_in = outputs or self.outputs(float(np.abs(s).max(initial=0)))
+        p = s @ wc
+        p += bc
+        p, logp = _softmax(p, cls, largest, learns)
         back = None
-        if grad is not None:
-            grad["wc"] += states.T @ p
-            grad["bc"] += p.sum(axis=0)
-            back = p @ v["wc"].T
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(1, self.classes + 1))
-        count = np.diff(edges)
-        for c in np.flatnonzero(count >= CLASS_TOKENS) + 1:
-            at = order[edges[c - 1]:edges[c]]
-            s = states[at]
-            q, logp_in = _softmax(s @ v["ww"][c].T + v["bw"][c], place[at])
-            logp[at] += logp_in
-            if grad is not None:
-                grad["ww"][c] += q.T @ s
-                grad["bw"][c] += q.sum(axis=0)
-                back[at] += q @ v["ww"][c]
-        # the classes with few targets, all at once: each target with its class's weights beside it
-        few = np.flatnonzero((count > 0) & (count < CLASS_TOKENS)) + 1
-        if len(few):
-            at = np.concatenate([order[edges[c - 1]:edges[c]] for c in few])
-            weights, s = v["ww"][cls[at]], states[at]
-            q, logp_in = _softmax((weights @ s[:, :, None])[:, :, 0] + v["bw"][cls[at]], place[at])
-            logp[at] += logp_in
-            if grad is not None:
-                back[at] += (q[:, None, :] @ weights)[:, 0]
-                last = np.cumsum(count[few - 1])
-                for c, low, high in zip(few, last - count[few - 1], last, strict=True):
-                    grad["ww"][c] += q[low:high].T @ s[low:high]
-                grad["bw"][few] += np.add.reduceat(q, last - count[few - 1], axis=0)
-        return logp, back
+        if learns:
+            grad["wc"] += (s.T @ p)[:, :self.classes]
+            grad["bc"] += (np.ones(len(p), p.dtype) @ p)[:self.classes]
+            back = p @ wc.T
+        edges = np.searchsorted(cls, np.arange(1, self.classes + 1))
+        inner = edges[0]
+        edges -= inner
+        if inner < len(s):
+            s, place = s[inner:], place[inner:]
+            present = np.flatnonzero(np.diff(edges)) + 1
+            runs = [(c, slice(edges[c - 1], edges[c])) for c in present.tolist()]
+            q = np.empty((len(s), ww.shape[1]), np.result_type(s, ww))
+            for c, at in runs:
+                np.matmul(s[at], ww[c].T, out=q[at])
+            q += bw.take(cls[inner:], axis=0)
+            q, logp_in = _softmax(q, place, largest_in, learns)
+            logp[inner:] += logp_in
+            if learns:
+                more = np.empty_like(s, dtype=q.dtype)
+                with_one = np.ones((len(s), s.shape[1] + 1), s.dtype)  # the last column sums up the biases
+                with_one[:, :-1] = s
+                by_weight = np.zeros((self.classes, ww.shape[1], s.shape[1] + 1), q.dtype)
+                for c, at in runs:
+                    np.matmul(q[at].T, with_one[at], out=by_weight[c])
+                    np.matmul(q[at], ww[c], out=more[at])
+                grad["ww"] += by_weight[:, :self.width, :-1]
+                grad["bw"] += by_weight[:, :self.width, -1]
+                back[inner:] += more
+        out = np.empty_like(logp)
+        out[order] = logp
+        if back is None:
+            return out, None
+        by_state = np.empty_like(back)
+        by_state[order] = back
+        return out, by_state
 
     def learn(self, inputs: np.ndarray, targets: np.ndarray, starts: np.ndarray, state: np.ndarray,
               adam: list, real: np.ndarray | None = None) -> np.ndarray:
@@ -267,54 +318,60 @@ class Network:
         ``real`` marks the places that have a token (without it: all).
         """
         h, v = self.hidden, self.views
-        table = self.table()
-        out, (before, r, z, n, candidate) = self.steps(table, inputs, starts, state, keep=True)
-        flat = np.zeros_like(self.vector)
+        out, (before, r, z, n, candidate) = self.steps(None, inputs, starts, state, keep=True)
+        if self.flat is None or self.flat.dtype != self.vector.dtype:
+            self.flat = np.empty_like(self.vector)
+        flat = self.flat
+        flat.fill(0)
         grad = self._views(flat, self.shapes)
-        used = np.ones(targets.size, bool) if real is None else real.reshape(-1)
-        back = np.zeros((targets.size, h), out.dtype)
-        back[used] = self.emit(out.reshape(-1, h)[used], targets.reshape(-1)[used], grad)[1]
+        states, used = out.reshape(-1, h), targets.size
+        if real is None or real.all():
+            back = self.emit(states, targets.reshape(-1), grad)[1].astype(out.dtype, copy=False)
+        else:
+            at = np.flatnonzero(real)
+            back, used = np.zeros((targets.size, h), out.dtype), len(at)
+            back[at] = self.emit(states.take(at, axis=0), targets.reshape(-1).take(at), grad)[1]
         back = back.reshape(out.shape)
         # what a change of the state after a step means for each gate, for all steps at once
         by_n = (1 - z) * (1 - n * n)
         by_z = (before - n) * z * (1 - z)
         by_r = candidate * r * (1 - r)
-        dx = np.empty((len(inputs), 3, *inputs.shape[1:], h), np.float32)  # by the gates' inputs: r, z, n
-        dg = np.empty_like(dx)                                             # by their recurrent parts
+        # by the input of the candidate state, by the gates r and z, and by the candidate's recurrent part, side by side:
+        # the first three go to the inputs, the last three to the state before
+        dg = np.empty((*inputs.shape, 4 * h), np.float32)
         carry = np.zeros_like(state)
-        back_wh = np.ascontiguousarray(v["wh"].reshape(h, 3, h).transpose(1, 2, 0))
+        back_wh = np.ascontiguousarray(v["wh"].T)
         fresh = starts.any(axis=1)
         for t in range(len(inputs) - 1, -1, -1):
-            d, x = back[t], dx[t]
+            d, g = back[t], dg[t]
             d += carry
-            np.multiply(d, by_n[t], out=x[2])
-            np.multiply(d, by_z[t], out=x[1])
-            np.multiply(x[2], by_r[t], out=x[0])
-            dg[t, :2] = x[:2]
-            np.multiply(x[2], r[t], out=dg[t, 2])
-            carry = np.matmul(dg[t], back_wh).sum(axis=0)
+            by_input = np.multiply(d, by_n[t], out=g[:, :h])
+            np.multiply(by_input, by_r[t], out=g[:, h:2 * h])
+            np.multiply(d, by_z[t], out=g[:, 2 * h:3 * h])
+            np.multiply(by_input, r[t], out=g[:, 3 * h:])
+            carry = g[:, h:] @ back_wh
             carry += d * z[t]
             if fresh[t]:
                 carry[starts[t]] = 0
-        flat_before = before.reshape(-1, h).T
-        for k in range(3):
-            part = dg[:, k].reshape(-1, h)
-            grad["wh"][:, k * h:(k + 1) * h] += flat_before @ part
-            grad["bh"][k * h:(k + 1) * h] += part.sum(axis=0)
-        by_token, tokens = _row_sums(inputs.reshape(-1), dx.transpose(0, 2, 1, 3).reshape(-1, 3 * h))
-        grad["emb"][tokens] += by_token @ v["wx"].T
-        grad["wx"] += v["emb"][tokens].T @ by_token
-        grad["bx"] += by_token.sum(axis=0)
-        flat /= max(1, int(used.sum()))
-        norm = float(np.sqrt(flat @ flat))
-        if norm > 1:
-            flat /= norm
+        dg = dg.reshape(-1, 4 * h)
+        sums = np.ones(len(dg), dg.dtype) @ dg
+        grad["wh"] += before.reshape(-1, h).T @ dg[:, h:]
+        grad["bh"] += sums[h:]
+        tokens = inputs.reshape(-1)
+        by_wx = v["emb"].take(tokens, axis=0).T @ dg[:, :3 * h]
+        for to, of in ((slice(2 * h), slice(h, 3 * h)), (slice(2 * h, 3 * h), slice(h))):
+            grad["wx"][:, to] += by_wx[:, of]
+            grad["bx"][to] += sums[of]
+        by_token = dg[:, :3 * h] @ np.concatenate((v["wx"][:, 2 * h:], v["wx"][:, :2 * h]), axis=1).T
+        place = self.spots.take(tokens, axis=0).reshape(-1)
+        grad["emb"] += np.bincount(place, by_token.reshape(-1), minlength=v["emb"].size).reshape(-1, h)
+        norm = float(np.sqrt(flat @ flat)) / max(1, used)
+        flat *= 0.1 / max(1, used) / max(1, norm)
         adam[0] += 1
         adam[1] *= 0.9
-        adam[1] += 0.1 * flat
+        adam[1] += flat
         adam[2] *= 0.99
-        flat *= flat
-        flat *= 0.01
+        flat *= flat  # a hundredth of the gradient's square
         adam[2] += flat
         size = RATE * np.sqrt(1 - 0.99 ** adam[0]) / (1 - 0.9 ** adam[0])
         step = np.sqrt(adam[2], out=flat)
@@ -325,24 +382,38 @@ class Network:
         return out[-1]
 
 
-def _softmax(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities less one at each row's target (the gradient by the logits), and the log probability there."""
-    logits -= logits.max(axis=1, keepdims=True)
-    rows = np.arange(len(target))
-    own = logits[rows, target]
-    np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    logits /= total[:, None]
-    logits[rows, target] -= 1
-    return logits, own - np.log(total)
+def _padded(x: np.ndarray, value: float = 0) -> np.ndarray:
+    """``x`` with further places to a multiple of 16 (along the second axis of three, else the first): whole tiles for the
+    matrix products."""
+    axis = int(x.ndim == 3)
+    shape = list(x.shape)
+    shape[axis] = -(-shape[axis] // 16) * 16
+    out = np.full(shape, value, x.dtype)
+    out[(slice(None),) * axis + (slice(x.shape[axis]),)] = x
+    return out
+
 
+def _largest(weights: np.ndarray, bias: np.ndarray, reach: float) -> float:
+    """A bound of all logits, where no state is larger than ``reach``."""
+    return float((np.abs(weights) @ np.ones(weights.shape[-1], weights.dtype) * reach + np.abs(bias)).max())
 
-def _row_sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the rows of each key, and the keys (sorted)."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    return np.add.reduceat(rows[order], first, axis=0), keys[first]
+
+def _softmax(logits: np.ndarray, target: np.ndarray, largest: float, learns: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability at each row's target, behind probabilities less one there (the gradient by the logits).
+
+    Without ``learns`` the first array is of no use. Logits of at most ``largest`` that exp can take stay as they are.
+    """
+    if not largest < SAFE_LOGIT:
+        logits -= logits.max(axis=1, keepdims=True)
+    flat = logits.reshape(-1)
+    at = np.arange(0, flat.size, logits.shape[1]) + target
+    own = flat.take(at)
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    if learns:
+        logits *= np.reciprocal(total)[:, None]
+        flat[at] -= 1
+    return logits, own - np.log(total)
 
 
 def lanes(lengths: np.ndarray, count: int) -> list[list[int]]:
@@ -424,14 +495,17 @@ def fit_documents(network: Network, ids: np.ndarray, bounds: np.ndarray, adam: l
 def score_documents(network: Network, table: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Natural log probability of each whole document's numbers."""
     state = np.zeros((min(SCORE_LANES, len(bounds) - 1), network.hidden), np.float32)
-    total = np.zeros(len(bounds) - 1)
+    total, outputs = np.zeros(len(bounds) - 1), network.outputs(1.0)  # states are means of values of tanh
     for inputs, targets, starts, owner in _windows(ids, bounds, SCORE_LANES, network.size, SCORE_WINDOW):
         out, _ = network.steps(table, inputs, starts, state[:inputs.shape[1]], keep=False)
         state = out[-1]
-        mine = owner.reshape(-1)
+        mine, states, targets = owner.reshape(-1), out.reshape(-1, network.hidden), targets.reshape(-1)
         real = mine >= 0
-        logp, _ = network.emit(out.reshape(-1, network.hidden)[real], targets.reshape(-1)[real])
-        total += np.bincount(mine[real], logp, minlength=len(total))
+        if not real.all():
+            at = np.flatnonzero(real)
+            mine, states, targets = mine.take(at), states.take(at, axis=0), targets.take(at)
+        logp, _ = network.emit(states, targets, outputs=outputs)
+        total += np.bincount(mine, logp, minlength=len(total))
     return total
 
 

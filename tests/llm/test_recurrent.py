@@ -149,3 +149,40 @@ def test_better_than_single_words_on_held_out_texts(spark):
     n = sum(r["n_tokens"] for r in got)
     assert sum(r["score"] for r in got) / n > sum(r["base_score"] for r in got) / n + 0.1
     assert sum(r["score"] > r["base_score"] for r in got) > 0.9 * len(got)
+
+
+def test_learning_copies_no_class_weights_for_each_target():
+    net = rec.Network(np.linspace(2000.0, 1, 2048))
+    rng = np.random.default_rng(4)
+    states, targets = rng.uniform(-1, 1, (2000, rec.HIDDEN)).astype(np.float32), rng.permutation(2048)[:2000]
+    grad = net._views(np.zeros_like(net.vector), net.shapes)
+    tracemalloc.start()
+    net.emit(states, targets, grad)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # the weights of each target's class take 5.9 MB
+
+
+def test_large_logits_stay_finite():
+    net = small()
+    for name in ("wc", "ww"):
+        net.views[name][:] *= 400
+    states = np.random.default_rng(2).uniform(-1, 1, (5, 4)).astype(np.float32)
+    for s in states:
+        logp, _ = net.emit(np.repeat(s[None], 10, axis=0), np.arange(10))
+        assert np.isfinite(logp).all() and abs(np.exp(logp.astype(float)).sum() - 1) < 1e-4
+
+
+def test_look_up_finds_each_hash_and_no_other():
+    rng = np.random.default_rng(3)
+    near = (np.uint64(7) << np.uint64(50)) + np.arange(50, dtype=np.uint64) * np.uint64(2)  # the same first bits
+    ends = np.array([0, 2 ** 64 - 1], dtype=np.uint64)
+    for hashes in (np.unique(np.concatenate((rng.integers(0, 2 ** 64, 3000, dtype=np.uint64), near, ends))), near[:1],
+                   ends[:1], near[:0]):
+        n = len(hashes)
+        known = rec.Lexicon(hashes, np.arange(n) + 5, np.arange(n, dtype=np.int32), 0, 0, 0, 0.0, np.zeros(1), 0)
+        asked = np.concatenate((hashes, hashes + np.uint64(1), near, ends, rng.integers(0, 2 ** 64, 500, dtype=np.uint64)))
+        where = {h: i for i, h in enumerate(hashes.tolist())}
+        ids, counts = known.look_up(asked)
+        assert ids.tolist() == [where.get(h, 0) for h in asked.tolist()]
+        assert counts.tolist() == [where[h] + 5 if h in where else -1 for h in asked.tolist()]
