@@ -43,6 +43,8 @@ SCORE_LANES = 256
 SCORE_WINDOW = 64
 GROUP_BYTES = 8 << 20
 RATE = 0.01
+#: Targets whose class logits are taken at once.
+LOGIT_ROWS = 2048
 #: Logits below this in size go to exp as they are.
 SAFE_LOGIT = 80
 #: Hash that stands for the end token.
@@ -271,11 +273,14 @@ class Network:
         order = np.argsort(cls, kind="stable")  # class by class, so that each class is one piece of memory
         cls, place, s = cls.take(order), self.word_place.take(targets.take(order)), states.take(order, axis=0)
         wc, bc, ww, bw, largest, largest_in = outputs or self.outputs(float(np.abs(s).max(initial=0)))
-        p = s @ wc
-        p += bc
-        p, logp = _softmax(p, cls, largest, learns)
-        back = None
+        parts, logp, back = [], np.empty(len(s), np.result_type(s, wc)), None
+        for low in range(0, len(s), LOGIT_ROWS):  # a few targets at once, so that their logits stay in the cache
+            p = s[low:low + LOGIT_ROWS] @ wc
+            p += bc
+            p, logp[low:low + LOGIT_ROWS] = _softmax(p, cls[low:low + LOGIT_ROWS], largest, learns)
+            parts += [p] * learns
         if learns:
+            p = parts[0] if len(parts) == 1 else np.concatenate(parts)
             grad["wc"] += (s.T @ p)[:, :self.classes]
             grad["bc"] += (np.ones(len(p), p.dtype) @ p)[:self.classes]
             back = p @ wc.T
@@ -579,14 +584,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         table = network.table()
         for batch in batches:
             for low, high, hashes, ids, found, bounds in _documents(batch.column(2), lex):
-                row = np.repeat(np.arange(high - low), np.diff(bounds))
                 here, other = found >= 0, ids == 0
                 logs = np.log10(np.maximum(found, 0) + 1.0)
-                part = lambda w: np.bincount(row, w, minlength=high - low)
+                part = lambda w: np.add.reduceat(w, bounds[:-1], dtype=np.float64)  # noqa: E731  # no row lacks an end
                 base = part(np.where(here, logs, 0.0))
                 own = score_documents(network, table, ids, bounds) / np.log(10) + part(
                     np.where(here & other, logs, 0.0)) - part(other) * np.log10(lex.other_mass)
-                rare, times = _rare(row[~here], hashes[~here], high - low)
+                unknown = np.flatnonzero(~here)
+                rare, times = _rare(np.searchsorted(bounds, unknown, side="right") - 1, hashes.take(unknown), high - low)
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(low, high - low).columns[:2], pa.array(np.diff(bounds)),
                      pa.array(part(found > 0).astype(np.int64)), pa.array(base), pa.array(own), rare, times],

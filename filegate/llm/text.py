@@ -117,9 +117,9 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Words:
     """Words of the lower-cased texts (A-Z only), never across a row boundary."""
-    data = LOWER[data]
+    data = LOWER.take(data)
     n = len(data)
-    inside = ~separators[data]
+    inside = ~separators.take(data)
     begins = np.zeros(n + 1, dtype=bool)
     begins[offsets] = True
     first = inside.copy()
@@ -128,10 +128,14 @@ def split_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -
     last[:-1] &= ~inside[1:] | begins[1:n]
     start = np.flatnonzero(first)
     end = np.flatnonzero(last) + 1
-    row = np.searchsorted(offsets[1:], start, side="right")
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(start, offsets)))
     powers, _ = _tables(n + 1)
     prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=prefix[1:])
+    terms = prefix[1:]
+    terms[:] = data
+    terms += np.uint64(1)
+    terms *= powers[:n]
+    np.cumsum(terms, out=terms)
     return Words(data, offsets, row, start, end, prefix)
 
 
